@@ -1,0 +1 @@
+"""Empty on purpose: the mart and every report are batch jobs over yearly editions."""
