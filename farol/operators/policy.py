@@ -89,10 +89,10 @@ def tier_mix(projected: DataFrame) -> DataFrame:
     return counts.withColumn("percentual", rules.round_even(rules.share(F.col("municipios"), total) * 100, 1))
 
 
-def goal_risk_list(projected: DataFrame) -> DataFrame:
-    """Municipalities of the high-risk tier, steepest pace first."""
+def goal_risk_list(projected: DataFrame, tier: str = K.TIERS[-1]) -> DataFrame:
+    """Municipalities of the high-risk tier (or another), steepest pace first."""
     return (
-        projected.where(F.col("classificacao_meta") == K.TIERS[-1])
+        projected.where(F.col("classificacao_meta") == tier)
         .orderBy(F.desc("ritmo_necessario_aa"), "id_municipio")
         .select("id_municipio", "uf", "taxa_atual", "meta_2030", "distancia_meta_pp", "ritmo_necessario_aa",
                 "risco_medio")

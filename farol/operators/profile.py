@@ -15,6 +15,22 @@ from farol.operators.order import exact_quantiles
 QUARTILES = {"q1": 0.25, "mediana": 0.5, "q3": 0.75}
 
 
+def _corr(a: str, b: str, name: str) -> Column:
+    """Sums behind one Pearson correlation over the rows where both columns are set.
+
+    Kept apart from ``corr``, which fails under ANSI mode when a column is constant.
+    """
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    return F.struct(
+        F.regr_sxy(y, x).alias("xy"), F.regr_sxx(y, x).alias("xx"), F.regr_syy(y, x).alias("yy")
+    ).alias(name)
+
+
+def _pearson(name: str) -> Column:
+    xy, xx, yy = (F.col(f"`{name}`.{part}") for part in ("xy", "xx", "yy"))
+    return F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy))
+
+
 def _rows(structs: list[Column]) -> Column:
     """Turn columns of one aggregate row into rows."""
     return F.inline(F.array(*structs))
@@ -94,19 +110,18 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     sends one row.
     """
     pairs = list(combinations(columns, 2))
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
+    one = df.agg(*[_corr(a, b, f"{a}|{b}") for a, b in pairs])
     return one.select(_rows([
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), C.nan_to_null(F.col(f"`{a}|{b}`")).alias("corr"))
-        for a, b in pairs
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _pearson(f"{a}|{b}").alias("corr")) for a, b in pairs
     ]))
 
 
 def correlation_to_target(df: DataFrame, columns: list[str]) -> DataFrame:
     """Correlation of each column with the 0/1 label, strongest first."""
     labelled = df.withColumn("target", rules.label_or_null())
-    one = labelled.agg(*[F.corr(F.col(c).cast("double"), F.col("target").cast("double")).alias(c) for c in columns])
+    one = labelled.agg(*[_corr(c, "target", c) for c in columns])
     return one.select(_rows([
-        F.struct(F.lit(c).alias("variavel"), C.nan_to_null(F.col(c)).alias("corr")) for c in columns
+        F.struct(F.lit(c).alias("variavel"), _pearson(c).alias("corr")) for c in columns
     ])).orderBy(F.desc_nulls_last("corr"), "variavel")
 
 

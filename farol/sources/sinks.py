@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from farol.session import new_path
 
 
-def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows while they are written, without a second pass."""
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def row_count(spark: SparkSession, path: str) -> int:
+    """Rows of a written table, from the file footers; no column is read."""
+    return spark.read.parquet(path).count()
 
 
 def write_mart(df: DataFrame, path: str) -> int:
@@ -21,13 +19,12 @@ def write_mart(df: DataFrame, path: str) -> int:
     The rebalance hint hashes by year and lets adaptive execution cut a large
     year into advisory-sized files, so no task writes a whole edition.
     """
-    watched, seen = counted(df)
     (
-        watched.hint("rebalance", "ano")
+        df.hint("rebalance", "ano")
         .sortWithinPartitions("ano", "id_municipio", "rede")
         .write.mode("overwrite").partitionBy("ano").parquet(path)
     )
-    return seen.get["rows"]
+    return row_count(df.sparkSession, path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -42,9 +39,8 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    watched, seen = counted(df)
-    watched.write.mode("overwrite").parquet(path)
-    return read_table(spark, path, df.schema), seen.get["rows"]
+    df.write.mode("overwrite").parquet(path)
+    return read_table(spark, path, df.schema), row_count(spark, path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

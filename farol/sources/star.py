@@ -153,22 +153,6 @@ class Star:
             (F.col("l_discount") * 10).alias("taxa_abandono_ef_2_ano"),
         )
 
-    @cached_property
-    def scored(self) -> DataFrame:
-        """Students with a closed-form score in (0, 1]: many ties, same value on every engine."""
-        score = (F.col("l_quantity") + (F.col("l_partkey") % 97).cast("double") / 97) / 51
-        measure = F.col("l_extendedprice") + 1000 * F.col("l_quantity")
-        return self._lines.select(
-            "ano",
-            F.col("o_custkey").cast("string").alias("id_aluno"),
-            F.substring(_code7("l_suppkey"), 1, 6).alias("id_municipio"),
-            F.col("l_partkey").cast("string").alias("id_escola"),
-            _by_priority("Estadual", "Municipal", "Federal").alias("rede"),
-            F.when(measure >= LABEL_CUT, "Sim").otherwise("Não").alias("alfabetizado"),
-            score.alias("prob_alfabetizado"),
-            ((F.col("l_partkey") % 97).cast("double") / 97).alias("prob_sem_peso"),
-        )
-
     @property
     def silver(self) -> Silver:
         return Silver(self.students, self.municipal, self.inse, self.goals, self.census, self.indicators)
