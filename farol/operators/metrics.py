@@ -59,22 +59,39 @@ def _cells(label: str, predicted: Column, tag: str = "") -> list[Column]:
 def confusion(df: DataFrame, label: str, score: str, threshold: float = 0.5, by: list[str] | None = None) -> DataFrame:
     """The four counts and the measures drawn from them, in one aggregate."""
     counts = df.groupBy(*(by or [])).agg(*_cells(label, rules.decide(score, threshold)))
-    cells = [F.col(c) for c in ("tn", "fp", "fn", "tp")]
-    return counts.withColumns(_measures(*cells))
+    return counts.withColumns(_measures(*[F.col(c) for c in ("tn", "fp", "fn", "tp")]))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, ranges: int = RANGES) -> DataFrame:
-    """Exact area under the ROC curve, tied pairs counted half; NULL for one class only.
+def score_counts(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
+    """Negatives and positives per distinct score: all that the measures need."""
+    return df.where(F.col(score).isNotNull()).groupBy(*(by or []), F.col(score).alias("_score")).agg(
+        F.count(F.when(F.col(label) == 0, 1)).alias("_neg"), F.count(F.when(F.col(label) == 1, 1)).alias("_pos")
+    )
+
+
+def confusion_of_counts(counts: DataFrame, threshold: float = 0.5, by: list[str] | None = None) -> DataFrame:
+    """A26 from ``score_counts``."""
+    above = rules.decide("_score", threshold) == 1
+
+    def n(side: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(side))), F.lit(0))
+
+    cells = counts.groupBy(*(by or [])).agg(
+        n("_neg", ~above).alias("tn"), n("_neg", above).alias("fp"),
+        n("_pos", ~above).alias("fn"), n("_pos", above).alias("tp"),
+    )
+    return cells.withColumns(_measures(*[F.col(c) for c in ("tn", "fp", "fn", "tp")]))
 
-    Rows collapse to distinct scores, which are cut into ranges. Pairs inside
-    a range need that range alone; pairs across ranges need only range totals.
+
+def auc_of_counts(counts: DataFrame, by: list[str] | None = None, ranges: int = RANGES) -> DataFrame:
+    """A27 from ``score_counts``.
+
+    Distinct scores are cut into ranges. Pairs inside a range need that range
+    alone; pairs across ranges need only range totals.
     """
     by = by or []
-    counts = df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(
-        F.count(F.when(F.col(label) == 0, 1)).alias("_neg"), F.count(F.when(F.col(label) == 1, 1)).alias("_pos")
-    )
-    placed = with_range(counts, score, ranges=ranges)
-    inside = W.partitionBy(*by, "_range").orderBy(score)
+    placed = with_range(counts, "_score", F.col("_neg") + F.col("_pos"), ranges=ranges)
+    inside = W.partitionBy(*by, "_range").orderBy("_score")
     below = F.sum("_neg").over(inside) - F.col("_neg")
     per_range = (
         placed.withColumn("_won", F.col("_pos").cast("double") * (below + F.col("_neg") / F.lit(2.0)))
@@ -93,6 +110,11 @@ def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None,
     ).drop("_won")
 
 
+def roc_auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, ranges: int = RANGES) -> DataFrame:
+    """Exact area under the ROC curve, tied pairs counted half; NULL for one class only."""
+    return auc_of_counts(score_counts(df, label, score, by), by, ranges)
+
+
 def threshold_simulation(
     df: DataFrame, label: str, score: str, thresholds: list[float] | None = None,
 ) -> DataFrame:

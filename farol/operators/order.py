@@ -17,14 +17,18 @@ from farol.sources.sinks import stage
 RANGES = 256
 
 
-def with_range(counts: DataFrame, value: str, series: list[str] | None = None, ranges: int = RANGES) -> DataFrame:
+def with_range(
+    counts: DataFrame, value: str, weight: Column, series: list[str] | None = None, ranges: int = RANGES,
+) -> DataFrame:
     """Add ``_range``, a number that never falls as ``value`` grows.
 
-    The cut points come from an approximate quantile sketch. They only decide
-    how evenly work is spread: any rising cut points give the same results.
+    The cut points come from an approximate quantile sketch over the distinct
+    values. They only decide how evenly work is spread: any rising cut points
+    give the same results. ``weight`` (rows behind a value) keeps the sketch
+    reading the same columns as its caller, so both share one shuffle.
     """
     cuts = [i / ranges for i in range(1, ranges)]
-    sketch = F.percentile_approx(value, cuts, 20 * ranges).alias("_cuts")
+    sketch = F.percentile_approx(F.when(weight > 0, F.col(value)), cuts, 20 * ranges).alias("_cuts")
     if series:
         # One row per series, and a series is a profiled column: bounded by the schema.
         placed = counts.join(F.broadcast(counts.groupBy(*series).agg(sketch)), series)
@@ -50,7 +54,7 @@ def exact_quantiles(
         .where(F.col("valor").isNotNull() & ~F.isnan("valor"))
         .groupBy(*keys, "valor").agg(F.count(F.lit(1)).alias("_n"))
     )
-    placed = with_range(counts, "valor", ["variavel"], ranges)
+    placed = with_range(counts, "valor", F.col("_n"), ["variavel"], ranges)
     inside = W.partitionBy(*keys, "_range").orderBy("valor")
     running = placed.withColumn("_upto", F.sum("_n").over(inside))
     across = W.partitionBy(*keys).orderBy("_range")

@@ -70,7 +70,8 @@ def s1_mart_scan(spark, base):
     mart = M.model_scan(gold_mart(spark, base))
     return mart.groupBy("ano", "rede", "sigla_uf_code").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct(K.GROUP).alias("alunos"),
-        *[_r(F.avg(c)).alias(c) for c in [*K.NUMERIC_FEATURES, *K.GOAL_COLUMNS]],
+        # Groups of one municipality repeat one value, which may end in a 5 at the seventh digit.
+        *[_r(F.avg(c), 4).alias(c) for c in [*K.NUMERIC_FEATURES, *K.GOAL_COLUMNS]],
     )
 
 
