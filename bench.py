@@ -1,8 +1,8 @@
 """Headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
 Each query is run once to warm up and then timed; its whole result is
-produced (written to a sink that discards it). The mart is built and timed
-first, as ``mart_build``; the other queries scan it.
+produced (written to a sink that discards it). The mart is built once as the
+table the other queries scan, then built again for ``mart_build``.
 """
 
 from __future__ import annotations
@@ -15,8 +15,10 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from farol import queries as q  # noqa: E402
-from farol.session import build_session  # noqa: E402
+from farol.plans.mart import save_mart  # noqa: E402
+from farol.session import build_session, new_path  # noqa: E402
 from farol.sources.gold import gold_mart  # noqa: E402
+from farol.sources.star import Star  # noqa: E402
 
 HEADLINE = [
     "a1_municipal_same_year", "a2_school_prior_rate", "a5_census_cell", "a6_indicator_cell", "j3_prior_year_join",
@@ -37,8 +39,9 @@ def main() -> None:
     spark.sparkContext.setLogLevel("OFF")
     spark.range(1000).selectExpr("sum(id)").collect()
     times: dict[str, float] = {}
-    start = time.perf_counter()
     gold_mart(spark, base)
+    start = time.perf_counter()
+    save_mart(Star(spark, base).silver, new_path(spark, "mart-timed"))
     times["mart_build"] = round(time.perf_counter() - start, 3)
     by_name = {f.__name__: f for f in q.QUERIES}
     wanted = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE

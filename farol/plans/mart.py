@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,10 +63,16 @@ def build_mart(
     The dimensions are written first, so their sizes are known when each join
     is chosen. Within the bound no student row is shuffled at all.
     """
-    inse, inse_rows = stage(D.municipal_inse(silver.inse), "inse")
-    year, year_rows = stage(D.year_context(silver.municipal, silver.goals, lag_years), "year-context")
-    cell, cell_rows = stage(D.cell_context(silver.census, silver.indicators, years), "cell-context")
-    school, school_rows = stage(D.school_year(silver.students), "school-year")
+    dims = {
+        "inse": D.municipal_inse(silver.inse),
+        "year-context": D.year_context(silver.municipal, silver.goals, lag_years),
+        "cell-context": D.cell_context(silver.census, silver.indicators, years),
+        "school-year": D.school_year(silver.students),
+    }
+    # Independent jobs: submitted together, they fill the cluster while each waits for its last tasks.
+    with ThreadPoolExecutor(len(dims)) as pool:
+        staged = pool.map(lambda item: stage(item[1], item[0]), dims.items())
+        (inse, inse_rows), (year, year_rows), (cell, cell_rows), (school, school_rows) = staged
     spread = ["id_aluno", "peso_aluno"]
 
     rows = student_rows(silver.students)
