@@ -145,14 +145,15 @@ def box_stats(df: DataFrame, measure: str, by: str, ranges: int = 256) -> DataFr
 def density_histogram(df: DataFrame, measure: str, by: str, bins: int = 50) -> DataFrame:
     """Equal bins over the shared range, each class normalised to area one."""
     data = df.where(F.col(measure).isNotNull() & F.col(by).isNotNull())
-    edges = data.agg(F.struct(F.min(measure).alias("lo"), F.max(measure).alias("hi"))).scalar()
+    lo, hi = F.min(measure), F.max(measure)
+    # A constant measure gets a range of width one around it.
+    pad = F.when(lo == hi, 0.5).otherwise(0.0)
+    edges = data.agg(F.struct((lo - pad).alias("lo"), (hi + pad).alias("hi"))).scalar()
     width = (F.col("_e.hi") - F.col("_e.lo")) / bins
-    slot = F.least(
-        F.floor(F.try_divide(F.col(measure) - F.col("_e.lo"), width)).cast("int"), F.lit(bins - 1)
-    )
+    slot = F.least(F.floor((F.col(measure) - F.col("_e.lo")) / width).cast("int"), F.lit(bins - 1))
     counts = (
         data.withColumn("_e", edges)
-        .groupBy(by, F.coalesce(slot, F.lit(0)).alias("faixa"), F.col("_e.lo").alias("_lo"), width.alias("_w"))
+        .groupBy(by, slot.alias("faixa"), F.col("_e.lo").alias("_lo"), width.alias("_w"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy(by).agg(F.sum("n").alias("_total"))
