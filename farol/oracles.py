@@ -25,7 +25,8 @@ def num(x: str) -> str:
 
 
 def r(x: str, digits: int = 6) -> str:
-    return f"round({x}, {digits})"
+    """Rounded, with the same nudge off exact halves as the queries."""
+    return f"round(({x}) + 3e-9::double, {digits})"
 
 
 def h(salt: str, *cols: str) -> str:
@@ -226,8 +227,8 @@ def sql(body: str, *views: str) -> str:
 ALL_MEASURES = [*K.NUMERIC_FEATURES, "icg_medio", "taxa_reprovacao_2ano_prior", "taxa_abandono_2ano_prior"]
 
 
-def avgs(cols, digits: int = 6) -> str:
-    return ", ".join(f"{r(f'avg({c})', digits)} as {c}" for c in cols)
+def avgs(cols) -> str:
+    return ", ".join(f"{r(f'avg({c})')} as {c}" for c in cols)
 
 
 def counts(cols) -> str:
@@ -328,7 +329,7 @@ def all_sql() -> dict[str, str]:
     # Sources and sinks.
     o["s1_mart_scan"] = sql(f"""
         select ano, rede, sigla_uf_code, count(*) as n, count(distinct id_aluno) as alunos,
-          {avgs([*K.NUMERIC_FEATURES, *K.GOAL_COLUMNS], 4)} from escopo group by ano, rede, sigla_uf_code""", "escopo")
+          {avgs([*K.NUMERIC_FEATURES, *K.GOAL_COLUMNS])} from escopo group by ano, rede, sigla_uf_code""", "escopo")
     o["s2_profile_scan"] = sql(f"""
         select rede, sigla_uf_code, alfabetizado, count(*) as n, {avgs(K.PROFILE_FEATURES)}
         from escopo group by rede, sigla_uf_code, alfabetizado""", "escopo")
@@ -537,7 +538,7 @@ def all_sql() -> dict[str, str]:
 
     o["a19_correlations"] = sql(f"select a, b, {r('corr')} as corr from ({pairs_of(K.PROFILE_FEATURES)})", "escopo")
     o["a19_target_correlation"] = sql(each(K.PROFILE_FEATURES, """
-        select '{c}' as variavel, round(corr({c}, (alfabetizado = 'Sim')::int), 6) as corr from escopo"""), "escopo")
+        select '{c}' as variavel, round((corr({c}, (alfabetizado = 'Sim')::int)) + 3e-9::double, 6) as corr from escopo"""), "escopo")
     o["a23_box_stats"] = sql(f"""
         with q as (select alfabetizado, {quantiles('', 'inse_municipio')} from escopo group by alfabetizado)
         select e.alfabetizado, count(*) as n, {r('min(inse_municipio)')} as min, {r('any_value(q1)')} as q1,
@@ -548,11 +549,11 @@ def all_sql() -> dict[str, str]:
         from escopo e join q on e.alfabetizado = q.alfabetizado where inse_municipio is not null
         group by e.alfabetizado""", "escopo")
     o["a24_histogram"] = sql("""
-        with g as (select alfabetizado, round(gap_meta_2030, 4) as x from escopo where gap_meta_2030 is not null),
+        with g as (select alfabetizado, round((gap_meta_2030) + 3e-9::double, 4) as x from escopo where gap_meta_2030 is not null),
         e as (select min(x) as lo, (max(x) - min(x)) / 50 as w from g)
         select alfabetizado, cast(least(floor((x - lo) / w), 49) as int) as faixa,
-          round(any_value(lo) + cast(least(floor((x - lo) / w), 49) as int) * any_value(w), 6) as inicio, count(*) as n,
-          round(count(*) / (sum(count(*)) over (partition by alfabetizado)::double * any_value(w)), 6) as densidade
+          round((any_value(lo) + cast(least(floor((x - lo) / w), 49) as int) * any_value(w)) + 3e-9::double, 6) as inicio, count(*) as n,
+          round((count(*) / (sum(count(*)) over (partition by alfabetizado)::double * any_value(w))) + 3e-9::double, 6) as densidade
         from g, e group by alfabetizado, cast(least(floor((x - lo) / w), 49) as int), least(floor((x - lo) / w), 49)
         """, "escopo")
     o["a28_id_audit"] = sql(each(["id_aluno", "id_municipio", "id_escola", "rede", "sigla_uf_code"], """
@@ -564,7 +565,7 @@ def all_sql() -> dict[str, str]:
           {r('avg(n_escolas_censo_celula)')} as escolas_por_celula,
           count(*) filter (n_escolas_censo_celula = 1) as celulas_escola_unica from d_census""", "d_census")
     o["a30_coverage"] = sql(each(ALL_MEASURES, """
-        select '{c}' as variavel, round(count({c})::double / count(*) * 100, 6) as cobertura_pct from escopo"""), "escopo")
+        select '{c}' as variavel, round((count({c})::double / count(*) * 100) + 3e-9::double, 6) as cobertura_pct from escopo"""), "escopo")
     by_year = each(ALL_MEASURES, """
         select ano, '{c}' as variavel, count({c}) as preenchidas, count(*) as linhas,
           count({c})::double / count(*) * 100 as cobertura_pct from escopo group by ano""")
@@ -573,8 +574,8 @@ def all_sql() -> dict[str, str]:
     o["q1_label_cut"] = sql("""
         select count(*) as linhas, count(*) filter (alfabetizado = 'Sim' and proficiencia < 70000) as sim_abaixo_do_corte,
           count(*) filter (alfabetizado <> 'Sim' and proficiencia >= 70000) as nao_acima_do_corte,
-          round(min(proficiencia) filter (alfabetizado = 'Sim'), 2) as menor_sim,
-          round(max(proficiencia) filter (alfabetizado <> 'Sim'), 2) as maior_nao from students""", "students")
+          round((min(proficiencia) filter (alfabetizado = 'Sim')) + 3e-9::double, 2) as menor_sim,
+          round((max(proficiencia) filter (alfabetizado <> 'Sim')) + 3e-9::double, 2) as maior_nao from students""", "students")
     o["q2_constant_columns"] = sql(f"""select variavel, valor from ({each(
         [*K.NUMERIC_FEATURES, *K.GOAL_COLUMNS, 'tem_censo_escolar'],
         "select '{c}' as variavel, min({c})::double as valor, count(distinct {c}) as d from escopo")}) where d = 1""",
@@ -589,7 +590,7 @@ def all_sql() -> dict[str, str]:
         from ({by_year}) group by variavel""", "escopo")
     o["q4_dense_ids"] = sql(each(["id_aluno", "id_escola", "id_municipio"], """
         select '{c}' as coluna, count(distinct v) as distintos, min(v) as menor, max(v) as maior,
-          max(v) - min(v) + 1 as faixa, round(count(distinct v)::double / (max(v) - min(v) + 1), 6) as densidade,
+          max(v) - min(v) + 1 as faixa, round((count(distinct v)::double / (max(v) - min(v) + 1)) + 3e-9::double, 6) as densidade,
           (count(distinct v)::double / (max(v) - min(v) + 1) >= 0.99)::int as parece_contador
         from (select cast({c} as bigint) as v from mart)"""), "mart")
     seen = [*K.PROFILE_FEATURES, *K.CATEGORICAL_FEATURES, K.TARGET]
@@ -634,8 +635,8 @@ def all_sql() -> dict[str, str]:
         where {h('undersample', *[f's.{k}' for k in keys])} < (select min(k) from c)::double / k * 4294967296
         group by s.alfabetizado, s.rede""", "students")
     o["m7_median_impute"] = sql(each(K.BASE_FEATURES, """
-        select '{c}' as variavel, count({c}) as n, round(median({c}), 6) as mediana,
-          round(avg(coalesce({c}, (select median({c}) from escopo))), 6) as media_preenchida from escopo"""), "escopo")
+        select '{c}' as variavel, count({c}) as n, round((median({c})) + 3e-9::double, 6) as mediana,
+          round((avg(coalesce({c}, (select median({c}) from escopo)))) + 3e-9::double, 6) as media_preenchida from escopo"""), "escopo")
     mode_of = """(select cast({c} as varchar) from mart where {c} is not null group by {c} order by count(*) desc, cast({c} as varchar) limit 1)"""
     modes = [("rede", "rede"), ("sigla_uf_code", "sigla_uf_code"), ("presenca", "presenca"),
              ("nivel", "nivel_alfabetizacao")]
@@ -654,9 +655,9 @@ def all_sql() -> dict[str, str]:
         select sigla_uf_code, {', '.join(f"{r(f'avg({zscore(c)})')} as {c}" for c in z)},
           {r(f"max({zscore('peso_aluno')})")} as maior_peso from escopo group by sigla_uf_code""", "escopo")
     balance = """count(*) filter (label = 0) as n_neg, count(*) filter (label = 1) as n_pos,
-          round(count(*) filter (label = 0)::double / count(*) filter (label = 1), 6) as scale_pos_weight,
-          round(count(*)::double / (2 * count(*) filter (label = 0)), 6) as peso_0,
-          round(count(*)::double / (2 * count(*) filter (label = 1)), 6) as peso_1"""
+          round((count(*) filter (label = 0)::double / count(*) filter (label = 1)) + 3e-9::double, 6) as scale_pos_weight,
+          round((count(*)::double / (2 * count(*) filter (label = 0))) + 3e-9::double, 6) as peso_0,
+          round((count(*)::double / (2 * count(*) filter (label = 1))) + 3e-9::double, 6) as peso_1"""
     o["m13_class_weights"] = sql(f"select {balance} from lados where lado = 'treino'", "lados")
     o["m14_target_encode_oof"] = sql(f"""
         with p as (select id_escola, fold, count(*) as n, sum(label)::double as s from dobras group by all)

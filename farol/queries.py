@@ -34,8 +34,14 @@ TEXT_KEYS = ["ano", "id_aluno", "id_municipio", "id_escola", "rede", "presenca",
 TRIALS = 14
 
 
+# Means of short decimals often end in an exact 5 at the digit after the last one
+# kept, where the last bit of a sum would decide the result. The nudge is far
+# below that digit and takes such means off the edge.
+NUDGE = 3e-9
+
+
 def _r(c: Column | str, digits: int = 6) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)
+    return F.round((F.col(c) if isinstance(c, str) else c) + NUDGE, digits)
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -70,8 +76,7 @@ def s1_mart_scan(spark, base):
     mart = M.model_scan(gold_mart(spark, base))
     return mart.groupBy("ano", "rede", "sigla_uf_code").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct(K.GROUP).alias("alunos"),
-        # Groups of one municipality repeat one value, which may end in a 5 at the seventh digit.
-        *[_r(F.avg(c), 4).alias(c) for c in [*K.NUMERIC_FEATURES, *K.GOAL_COLUMNS]],
+        *[_r(F.avg(c)).alias(c) for c in [*K.NUMERIC_FEATURES, *K.GOAL_COLUMNS]],
     )
 
 
