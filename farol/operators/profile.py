@@ -15,20 +15,15 @@ from farol.operators.order import exact_quantiles
 QUARTILES = {"q1": 0.25, "mediana": 0.5, "q3": 0.75}
 
 
-def _corr(a: str, b: str, name: str) -> Column:
-    """Sums behind one Pearson correlation over the rows where both columns are set.
+def _pearson(pairs: DataFrame, *keys: str) -> DataFrame:
+    """Correlation of ``x`` and ``y`` per key over the rows where both are set.
 
-    Kept apart from ``corr``, which fails under ANSI mode when a column is constant.
+    Drawn from its sums, as ``corr`` fails under ANSI mode when a column is constant.
     """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    return F.struct(
-        F.regr_sxy(y, x).alias("xy"), F.regr_sxx(y, x).alias("xx"), F.regr_syy(y, x).alias("yy")
-    ).alias(name)
-
-
-def _pearson(name: str) -> Column:
-    xy, xx, yy = (F.col(f"`{name}`.{part}") for part in ("xy", "xx", "yy"))
-    return F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy))
+    sums = pairs.groupBy(*keys).agg(
+        F.regr_sxy("y", "x").alias("xy"), F.regr_sxx("y", "x").alias("xx"), F.regr_syy("y", "x").alias("yy")
+    )
+    return sums.select(*keys, F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")).alias("corr"))
 
 
 def _rows(structs: list[Column]) -> Column:
@@ -106,23 +101,25 @@ def describe(df: DataFrame, columns: list[str], ranges: int = 256) -> DataFrame:
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every column pair over their common rows.
 
-    One aggregate holds all pairs, so the table is read once and each task
-    sends one row.
+    Column pairs are rows of one grouped aggregate: the table is read once and
+    a task sends one row per pair. As columns of a single aggregate they
+    would outgrow compiled code and run several times slower.
     """
-    pairs = list(combinations(columns, 2))
-    one = df.agg(*[_corr(a, b, f"{a}|{b}") for a, b in pairs])
-    return one.select(_rows([
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _pearson(f"{a}|{b}").alias("corr")) for a, b in pairs
-    ]))
+    x = {c: F.col(c).cast("double") for c in columns}
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), x[a].alias("x"), x[b].alias("y"))
+        for a, b in combinations(columns, 2)
+    ])))
+    return _pearson(pairs, "a", "b")
 
 
 def correlation_to_target(df: DataFrame, columns: list[str]) -> DataFrame:
     """Correlation of each column with the 0/1 label, strongest first."""
-    labelled = df.withColumn("target", rules.label_or_null())
-    one = labelled.agg(*[_corr(c, "target", c) for c in columns])
-    return one.select(_rows([
-        F.struct(F.lit(c).alias("variavel"), _pearson(c).alias("corr")) for c in columns
-    ])).orderBy(F.desc_nulls_last("corr"), "variavel")
+    target = rules.label_or_null().cast("double").alias("y")
+    pairs = df.select(target, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variavel"), F.col(c).cast("double").alias("x")) for c in columns
+    ])))
+    return _pearson(pairs, "variavel").orderBy(F.desc_nulls_last("corr"), "variavel")
 
 
 def box_stats(df: DataFrame, measure: str, by: str, ranges: int = 256) -> DataFrame:
