@@ -12,6 +12,7 @@ from farol.functions import conform as C
 from farol.operators import dimensions as D
 from farol.operators.joins import BROADCAST_MAX_ROWS, hot_keys, lookup_join
 from farol.sources.silver import Silver
+from farol.sources.star import Star
 from farol.sources.sinks import read_table, stage, write_mart
 
 MART_SCHEMA = (
@@ -56,7 +57,7 @@ def join_history(rows: DataFrame, by_school: DataFrame, prior_rows: int, max_row
 
 
 def build_mart(
-    silver: Silver, years: D.Years = None, lag_years: int = 0, max_rows: int = BROADCAST_MAX_ROWS,
+    silver: Silver | Star, years: D.Years = None, lag_years: int = 0, max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Mart rows in the published column order.
 
@@ -86,7 +87,7 @@ def build_mart(
     }).select(*MART_COLUMNS)
 
 
-def save_mart(silver: Silver, path: str, **options) -> int:
+def save_mart(silver: Silver | Star, path: str, **options) -> int:
     """Build and write the mart; returns the rows written."""
     return write_mart(build_mart(silver, **options), path)
 

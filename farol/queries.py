@@ -49,8 +49,8 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[_r(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def _silver(spark: SparkSession, base: str):
-    return Star(spark, base).silver
+def _silver(spark: SparkSession, base: str) -> Star:
+    return Star(spark, base)
 
 
 def _scope(spark: SparkSession, base: str) -> DataFrame:

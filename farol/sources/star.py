@@ -11,11 +11,12 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from farol.sources.silver import Silver
+from pyspark.sql.types import StructType
 
 LABEL_CUT = 70000.0
 
+_schemas: dict[str, StructType] = {}
+
 
 def _comma(c: Column) -> Column:
     return F.replace(c.cast("string"), F.lit("."), F.lit(","))
@@ -36,13 +37,17 @@ def _by_priority(high: str, middle: str, rest: str) -> Column:
 
 
 class Star:
-    """Lazy views; each query prunes them down to the columns it uses."""
+    """Lazy views named as in ``Silver``; each query prunes them down to the columns it uses."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{name}.parquet")
+        """One table; its schema is read from the file footers once per process."""
+        path = f"{self.base}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     @cached_property
     def _lineitem(self) -> DataFrame:
@@ -51,7 +56,7 @@ class Star:
         Tables of any size worth a cluster have more splits than cores and stay as they are.
         """
         lines, cores = self.table("lineitem"), self.spark.sparkContext.defaultParallelism
-        return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+        return lines.repartition(cores, "l_orderkey") if lines.rdd.getNumPartitions() < cores else lines
 
     @cached_property
     def _lines(self) -> DataFrame:
@@ -161,7 +166,3 @@ class Star:
             F.when(F.col("ano") > 1997, F.col("l_tax") * 100).alias("taxa_reprovacao_ef_2_ano"),
             (F.col("l_discount") * 10).alias("taxa_abandono_ef_2_ano"),
         )
-
-    @property
-    def silver(self) -> Silver:
-        return Silver(self.students, self.municipal, self.inse, self.goals, self.census, self.indicators)

@@ -86,7 +86,7 @@ def test_absentees_stay_in_the_mart_but_not_in_the_history(spark):
 
 
 def test_both_mart_paths_agree(spark, base):
-    silver = Star(spark, base).silver
+    silver = Star(spark, base)
     measure = [F.count(F.lit(1)), F.sum("tem_historico_escola"), F.sum("tem_censo_escolar"),
                *[F.round(F.sum(c), 4) for c in ("inse_municipio", "gap_meta_2030", "tdi_2ano", "taxa_alfabetizacao_escola_prior")]]
     small = M.build_mart(silver).agg(*measure).first()
@@ -105,7 +105,7 @@ def test_lag_years_serves_last_year(spark):
 
 
 def test_year_bounds_shift_for_outcomes(spark, base):
-    silver = Star(spark, base).silver
+    silver = Star(spark, base)
     bounded = D.cell_context(silver.census, silver.indicators, (1997, 1998))
     assert {r["ano"] for r in bounded.select("ano").distinct().collect()} == {1997, 1998}
     whole = D.cell_context(silver.census, silver.indicators).where(F.col("ano").between(1997, 1998))

@@ -56,7 +56,7 @@ def test_split_and_folds_do_not_shuffle(spark, base):
 
 
 def test_mart_rows_are_not_shuffled_below_the_bound(spark, base):
-    silver = Star(spark, base).silver
+    silver = Star(spark, base)
     plan = plan_of(M.build_mart(silver))
     assert plan.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in plan
 
