@@ -7,11 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farol.llm import (
-    exact_dedup, jaccard_join, language_id, license_scan, packing, token_counts, token_store,
+    decontaminate, exact_dedup, jaccard_join, language_id, license_scan, packing, token_counts, token_store,
 )
 from farol.llm.common import read
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -44,6 +48,6 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [
-    op4_token_counts, op5_license_scan, op6_jaccard_join, op7_language_id, op8_best_fit_packing, op9_token_store,
+    op1_decontaminate, op4_token_counts, op5_license_scan, op6_jaccard_join, op7_language_id, op8_best_fit_packing, op9_token_store,
     op10_exact_dedup,
 ]

@@ -11,6 +11,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_CODE = _LOWER.astype(np.uint64) + np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,15 +35,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(raw: bytes) -> np.ndarray:
     """Hash of each maximal run of bytes that are not ASCII white space, A-Z lowered."""
-    data = _LOWER[np.frombuffer(raw, np.uint8)]
+    data = np.frombuffer(raw, np.uint8)
     if not len(data):
         return np.empty(0, np.uint64)
     size = 1 << max(12, (len(data)).bit_length())
     power, inverse = _powers(size)
-    blank = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
+    blank = np.ones(len(data) + 2, bool)
+    blank[1:-1] = _SPACE[data]
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
     start, stop = edge[::2], edge[1::2]
-    total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)])])
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_CODE[data] * power[: len(data)], out=total[1:])
     return mix((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64))
 
 
