@@ -67,10 +67,11 @@ def exact_duplicates(
         .groupBy(F.col("text_sha256").alias("unsure")).agg(F.lit(1).alias("_one")).select("unsure")
     )
     keyed = recipes.join(unsure, F.col("text_sha256") == F.col("unsure"), "left")
-    groups = keyed.groupBy(F.col("recipe").alias("g_recipe"), F.coalesce("unsure", F.lit("")).alias("g_extra")).agg(
+    # Written first: both sides of the join are then plain shuffles, and adaptive execution splits a hot group's rows.
+    groups = staged(keyed.groupBy(F.col("recipe").alias("g_recipe"), F.coalesce("unsure", F.lit("")).alias("g_extra")).agg(
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("last"), "doc_id")).alias("best"),
-    )
+    ), "groups")
     return keyed.join(
         groups, (F.col("recipe") == F.col("g_recipe")) & (F.coalesce("unsure", F.lit("")) == F.col("g_extra")),
     ).select(
