@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farol.llm import (
-    decontaminate, exact_dedup, gru_lm, jaccard_join, language_id, license_scan, packing, token_counts, token_store,
+    decontaminate, exact_dedup, gru_lm, jaccard_join, language_id, license_scan, packing, suffix_dedup, token_counts, token_store,
 )
 from farol.llm.common import read
 
@@ -16,6 +16,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gru_lm.score_documents(read(spark, sf_dir, "documents"))
 
@@ -52,6 +56,6 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [
-    op1_decontaminate, op3_gru_lm, op4_token_counts, op5_license_scan, op6_jaccard_join, op7_language_id, op8_best_fit_packing, op9_token_store,
+    op1_decontaminate, op2_suffix_dedup, op3_gru_lm, op4_token_counts, op5_license_scan, op6_jaccard_join, op7_language_id, op8_best_fit_packing, op9_token_store,
     op10_exact_dedup,
 ]
