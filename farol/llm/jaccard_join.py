@@ -42,7 +42,7 @@ FREQUENT_LOCAL = 4         # occurrences in one batch from which a shingle is re
 FREQUENT_MAX = 1 << 18     # most frequent shingles set aside: 2 MB; any choice gives the same links
 BROADCAST_IDS = 1_000_000  # ids sent to all executors at most (8 MB); more are joined by shuffle
 BUCKETS = 64
-BLOCK = 256
+BLOCK = 1 << 14         # pairs compared at a time
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -63,13 +63,13 @@ def bands(n: int) -> list[int]:
 def cell_signatures(grams: np.ndarray, band: int, domain: int) -> np.ndarray:
     """Hashes of all non-empty subsets of GROUP - DROP cells of each part of the band's partition."""
     low = 1 << band
-    salt = np.uint64((band << 2 | domain) + 1)
+    salt = mix(np.full(1, (band << 2 | domain) + 1, np.uint64))[0]
     if low < SINGLE:
-        return mix(grams ^ mix(np.full(1, salt)))
+        return grams ^ salt
     cells = GROUP * -(-int(CELLS * low + 2) // GROUP)
-    place = (mix(grams + salt) % np.uint64(cells)).astype(np.int64)
+    place = (((grams * (salt | np.uint64(1))) >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
     content = np.zeros(cells, np.uint64)
-    np.add.at(content, place, mix(grams ^ salt))
+    np.add.at(content, place, grams)  # shingle hashes are random numbers: their sum names the cell's content
     content = content.reshape(-1, GROUP)
     out = []
     for chosen in combinations(range(GROUP), GROUP - DROP):
@@ -83,13 +83,24 @@ def cell_signatures(grams: np.ndarray, band: int, domain: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def signatures(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+class Frequent:
+    """Sorted frequent shingles behind a small table that settles most others at once."""
+
+    def __init__(self, values: np.ndarray):
+        self.values, self.table = values, np.zeros(1 << 22, bool)
+        self.table[values >> np.uint64(42)] = True
+
+    def without(self, grams: np.ndarray) -> np.ndarray:
+        maybe = np.flatnonzero(self.table[grams >> np.uint64(42)])
+        if not len(maybe):
+            return grams
+        at = np.minimum(np.searchsorted(self.values, grams[maybe]), len(self.values) - 1)
+        return np.delete(grams, maybe[self.values[at] == grams[maybe]])
+
+
+def signatures(grams: np.ndarray, frequent: Frequent) -> np.ndarray:
     """All signatures of a set over the domain without frequent shingles, and over all of it where too few are left."""
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
-        rare = grams[frequent[at] != grams]
-    else:
-        rare = grams
+    rare = frequent.without(grams)
     out = []
     for band in bands(len(grams)):
         if len(rare):
@@ -113,7 +124,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held, size = [], [], 0
         for doc, raw in _texts(batch):
             grams = shingle_set(raw)
-            f1, f2 = mix(grams).sum(dtype=np.uint64), mix(grams ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)
+            f1, f2 = grams.sum(dtype=np.uint64), mix(grams).sum(dtype=np.uint64)
             rows.append((doc, len(grams), int(f1.view(np.int64)), int(f2.view(np.int64)), sketch(grams)))
             held.append(grams)
             size += len(grams)
@@ -136,7 +147,8 @@ def _frequent(held: list[np.ndarray]) -> list[tuple]:
     return [(None, c, g, 0, None) for c, g in zip(n[keep].tolist(), _signed(grams[first[keep]]).tolist(), strict=True)]
 
 
-def _sign(frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(values: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    frequent = Frequent(values)
     for batch in batches:
         sigs, owners, size = [], [], 0
         for _, raw in _texts(batch):
@@ -145,7 +157,7 @@ def _sign(frequent: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[p
                 continue
             mine = signatures(grams, frequent)
             sigs.append(mine)
-            owners.append(np.full(len(mine), mix(grams).sum(dtype=np.uint64)))
+            owners.append(np.full(len(mine), grams.sum(dtype=np.uint64)))
             size += len(mine)
             if size > 500_000:
                 yield _pairs(sigs, owners)
@@ -161,21 +173,21 @@ def _pairs(sigs: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, out = [], []
+        ids, out, size = [], [], 0
         for doc, raw in _texts(batch):
             ids.append(doc)
-            out.append(shingle_set(raw).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["doc_id", "grams"])
+            out.append(_signed(shingle_set(raw)))
+            size += len(out[-1])
+            if size > 500_000:
+                yield _listed(ids, out)
+                ids, out, size = [], [], 0
+        yield _listed(ids, out)
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _listed(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+    ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+    values = pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(ends, values)], names=["doc_id", "grams"])
 
 
 def may_link(n1: np.ndarray, c1: np.ndarray, n2: np.ndarray, c2: np.ndarray) -> np.ndarray:
@@ -187,31 +199,34 @@ def may_link(n1: np.ndarray, c1: np.ndarray, n2: np.ndarray, c2: np.ndarray) ->
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of one signature and different components that the bucket counts allow; rows come ordered by signature."""
-    held: list[tuple] = []
+    held = None
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("sig", "doc_id", "component", "n", "counts")), strict=True):
-            if held and held[-1][0] != row[0]:
-                yield from _compare(held)
-                held = []
-            held.append(row)
-    yield from _compare(held)
-
-
-def _compare(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    if len({r[2] for r in rows}) < 2:
-        return
-    doc, comp, n = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
-    counts = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, BUCKETS)
-    for i in range(0, len(rows), BLOCK):
-        for j in range(i, len(rows), BLOCK):
-            a, b = slice(i, i + BLOCK), slice(j, j + BLOCK)
-            ok = may_link(n[a, None], counts[a, None], n[None, b], counts[None, b]) & (comp[a, None] < comp[None, b])
-            if i != j:
-                ok |= may_link(n[a, None], counts[a, None], n[None, b], counts[None, b]) & (comp[a, None] > comp[None, b])
-            x, y = np.nonzero(ok)
-            if len(x):
-                p, q = doc[a][x], doc[b][y]
+        rows = [batch.column(c).to_numpy() for c in ("sig", "doc_id", "component", "n")]
+        rows.append(np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(-1, BUCKETS))
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+        tail = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
+        held = [x[tail:] for x in rows]
+        yield from _compare(*[x[:tail] for x in rows])
+    if held is not None:
+        yield from _compare(*held)
+
+
+def _compare(sig: np.ndarray, doc: np.ndarray, comp: np.ndarray, n: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Each row with the one k places on, for all k that stay inside a signature: all groups of the block at once."""
+    k, at = 1, np.arange(len(sig))
+    while True:
+        at = at[at + k < len(sig)]
+        at = at[sig[at] == sig[at + k]]
+        if not len(at):
+            return
+        i = at[comp[at] != comp[at + k]]
+        for part in np.split(i, range(BLOCK, len(i), BLOCK)):
+            ok = part[may_link(n[part], counts[part], n[part + k], counts[part + k])]
+            if len(ok):
+                p, q = doc[ok], doc[ok + k]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
+        k += 1
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -220,11 +235,12 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     ids = staged(ids, "candidate_ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = staged(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, grams binary"), "sets")
+    sets = staged(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, grams array<long>"), "sets")
+    both = F.size(F.array_intersect("x", "y"))
     return staged(
         pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a")
         .join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
-        .select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long"), "links")
+        .where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both)).select("a", "b"), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -16,9 +16,12 @@ _CODE = _LOWER.astype(np.uint64) + np.uint64(1)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (a bijection)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 @lru_cache(maxsize=4)
