@@ -18,31 +18,33 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farol.llm.common import LOWER, by_bytes, remainder, staged
+from farol.llm.common import by_bytes, remainder, staged
 
 HIDDEN = 16            # state of the recurrent unit
 CLASSES, WORDS = 32, 1022  # word classes, and frequent words the model knows, beside "other" and the end
-HEAD = 200_000         # most frequent words whose counts travel with the job (a few MB); the rest are joined
-SHARE = 8              # a copy trains on one of so many training documents, another part in each round
+HEAD = 100_000         # most frequent words whose counts travel with the job (a few MB); the rest are joined
+SHARE = 16             # a copy trains on one of so many training documents, another part in each round
 ROUNDS = 2
-LANES, STEPS = 32, 20  # texts trained side by side, and steps of a truncated window
-RATE = 0.01
+LANES, STEPS = 128, 16 # texts trained side by side, and steps of a truncated window
+RATE = 0.02
 WINDOW = 64            # steps of a scoring window
 BATCH_CHARS = 16 << 20  # text scored side by side
 FLUSH = 500_000        # distinct words a task counts before it passes them on
 OTHER, END = 0, 1
-_BLANK = str.maketrans("\t\n\v\f\r", "     ")
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz     ")
 
 
 def tokens(text: str) -> list[str]:
     """Words without the end mark: runs without ASCII white space, A-Z lowered."""
-    return [w for w in text.translate(LOWER).translate(_BLANK).split(" ") if w]
+    words = text.encode().translate(_PLAIN).decode().split(" ")
+    return [w for w in words if w] if "" in words else words
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,20 +87,24 @@ class Lexicon:
 
     def __post_init__(self):
         self.base_mass = self.total + 0.5 * (self.distinct + 1)
-        known = sum(self.head[w] for w in self.index) + self.head.get("", 0)
-        self.other_mass = self.total - known + 0.5 * (max(0, self.distinct - len(self.index) - 1) + 1)
+        known = sum(self.head.get(w, 0) for w in self.index)
+        self.other_mass = self.total - known + 0.5 * (max(0, self.distinct - len(self.index)) + 1)
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
     """Collects at most HEAD words, whatever the corpus."""
     sums = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     total, distinct = int(sums["total"] or 0), int(sums["distinct"])
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
+    sizes, least = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).where("n > 1").orderBy(F.desc("n")).limit(HEAD).collect(), 0
+    for row, held in zip(sizes, np.cumsum([r["words"] for r in sizes]), strict=True):
+        if held <= HEAD:
+            least = row["n"]
+    top = counts.where(F.col("n") >= max(least, 2)).orderBy(F.desc("n"), "word").toPandas() if least else counts.limit(0).toPandas()
     head = dict(zip(top["word"], top["n"].astype(int), strict=True))
     known = [w for w in head if w][:WORDS]
     mass = np.array([0.5, head.get("", 0) + 0.5, *(head[w] for w in known)])
     mass[OTHER] += max(0, total - head.get("", 0) - sum(head[w] for w in known))
-    return Lexicon(total, distinct, head, {w: i + 2 for i, w in enumerate(known)}, *_classes(mass), mass / mass.sum())
+    return Lexicon(total, distinct, head, {"": END} | {w: i + 2 for i, w in enumerate(known)}, *_classes(mass), mass / mass.sum())
 
 
 def _classes(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,10 +188,10 @@ class GruLm:
         return out
 
     def train(self, stream: list[np.ndarray]) -> int:
-        """Truncated backpropagation over documents dealt to lanes; the state passes from window to window. Words seen."""
-        lanes = [np.concatenate(part) for part in (stream[i::LANES] for i in range(LANES)) if part]
-        if not lanes:
+        """Truncated backpropagation over documents end to end, cut into lanes; the state passes from window to window. Words seen."""
+        if not stream:
             return 0
+        lanes = [x for x in np.array_split(np.concatenate(stream), LANES) if len(x)]
         size = max(map(len, lanes))
         grid, live = np.zeros((size, len(lanes)), np.int64), np.zeros((size, len(lanes)), bool)
         for i, lane in enumerate(lanes):
@@ -270,8 +276,7 @@ class GruLm:
 
 
 def _ids(lex: Lexicon, words: list[str]) -> np.ndarray:
-    get = lex.index.get
-    return np.array([*[get(w, OTHER) for w in words], END], np.int64)
+    return np.fromiter(map(lex.index.get, [*words, ""], repeat(OTHER)), np.int64, len(words) + 1)
 
 
 def _train_copy(lex: Lexicon, values: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,26 +311,25 @@ SCORED = "row long, doc_id long, word string, n long, n_tokens long, n_known lon
 def _scored(lex: Lexicon, values: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and one per word of it that is not among the frequent ones, whose count is still to come."""
     model, log10e = GruLm(lex).load(values), float(np.log10(np.e))
-    base = {w: lex.log_base(c) for w, c in lex.head.items()}
-    other = {w: lex.log_other(c) for w, c in lex.head.items() if w not in lex.index}
-    all_known = lex.distinct <= len(lex.head)
+    # One look-up per word: its place among the frequent words leads to its probabilities and its model word.
+    place = {w: i for i, w in enumerate(lex.head)}
+    base = np.array([*[lex.log_base(c) for c in lex.head.values()], 0.0])
+    other = np.array([*[0.0 if w in lex.index else lex.log_other(c) for w, c in lex.head.items()], 0.0])
+    word = np.array([*[lex.index.get(w, OTHER) for w in lex.head], OTHER])
+    ends = lex.log_base(lex.head.get("", 0))
     for batch in batches:
         keys, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
         for first, texts in by_bytes(batch.column("text").to_pylist(), BATCH_CHARS):
             rows, coded, extra = [], [], []
             for k, text in enumerate(texts, first):
                 words = tokens(text)
-                rare = Counter(w for w in words if w not in base)
-                total = sum(base[w] for w in words if w in base)
-                inside = sum(other[w] for w in words if w in other)
-                if all_known:
-                    total += lex.log_base(0) * rare.total()
-                    inside += lex.log_other(0) * rare.total()
-                else:
-                    rows += [(keys[k], ids[k], w, c, None, None, None, None) for w, c in rare.items()]
-                extra.append((keys[k], ids[k], len(words) + 1, len(words) - rare.total() + ("" in base),
-                              total + base.get("", lex.log_base(0)), inside))
-                coded.append(_ids(lex, words))
+                at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
+                missing = np.flatnonzero(at < 0)
+                rare = Counter([words[i] for i in missing.tolist()])
+                rows += [(keys[k], ids[k], w, c, None, None, None, None) for w, c in rare.items()]
+                extra.append((keys[k], ids[k], len(words) + 1, len(words) - len(missing) + ("" in place),
+                              float(base[at].sum()) + ends, float(other[at].sum())))
+                coded.append(np.append(word[at], END))
             scores = model.score(coded) * log10e
             rows += [(key, doc, None, None, n, known, b, float(s) + inside)
                      for (key, doc, n, known, b, inside), s in zip(extra, scores, strict=True)]
