@@ -11,11 +11,11 @@ Very frequent shingles are left out of the cells of documents that have enough
 others: that never adds a difference, so nothing is lost, and a passage that
 many documents share gathers them in no signature.
 
-Links are found in two rounds. In the first a document is compared with one
-other of its signatures only; that joins large groups of near copies at once.
+Links are found in two rounds. In the first a document is compared with two
+others of its signatures only; that joins large groups of near copies at once.
 In the second all pairs that share a signature and are not yet connected are
-compared, first by counts of shingles in 64 buckets, whose differences can
-only be smaller than those of the sets.
+compared, first by the parities of their shingles in 512 buckets: sets differ
+in at least as many shingles as parities do.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ RARE = 0.8                 # share of a set outside the frequent shingles that s
 FREQUENT_LOCAL = 4         # occurrences in one batch from which a shingle is reported
 FREQUENT_MAX = 1 << 18     # most frequent shingles set aside: 2 MB; any choice gives the same links
 BROADCAST_IDS = 1_000_000  # ids sent to all executors at most (8 MB); more are joined by shuffle
-BUCKETS = 64
+BUCKETS = 512              # parities, one bit each
 BLOCK = 1 << 14         # pairs compared at a time
 
 
@@ -50,8 +50,9 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def sketch(grams: np.ndarray) -> bytes:
-    """Shingles per bucket, at most 255 of each: the differences bound those of the sets from below."""
-    return np.minimum(np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+    """Parity of the shingles in each bucket: every shingle that only one of two sets has flips one bit at most."""
+    counts = np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
 
 
 def bands(n: int) -> list[int]:
@@ -191,18 +192,18 @@ def _listed(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def may_link(n1: np.ndarray, c1: np.ndarray, n2: np.ndarray, c2: np.ndarray) -> np.ndarray:
-    """False only for pairs whose sizes or bucket counts rule a link out."""
-    least = np.abs(c1.astype(np.int16) - c2.astype(np.int16)).sum(-1)
+    """False only for pairs whose sizes or parities rule a link out."""
+    least = np.maximum(np.bitwise_count(c1 ^ c2).sum(-1, dtype=np.int64), np.abs(n1 - n2))
     # |a & b| >= PERCENT/(100+PERCENT) * (|a|+|b|), so the difference is at most the rest.
     return (100 + PERCENT) * least <= (100 - PERCENT) * (n1 + n2)
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one signature and different components that the bucket counts allow; rows come ordered by signature."""
+    """Pairs of one signature and different components that the parities allow; rows come ordered by signature."""
     held = None
     for batch in batches:
         rows = [batch.column(c).to_numpy() for c in ("sig", "doc_id", "component", "n")]
-        rows.append(np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(-1, BUCKETS))
+        rows.append(np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint64).reshape(-1, BUCKETS // 64))
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
         tail = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
@@ -266,12 +267,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = staged(
         docs.where("doc_id is not null").mapInArrow(lambda batches: _sign(held.value, batches), "sig long, f1 long")
         .repartition("sig").distinct()
-        .withColumn("size", F.count(F.lit(1)).over(by_sig)).withColumn("leader", F.min("f1").over(by_sig))
-        .where("size > 1").select("sig", "f1", "leader"), "shared")
+        .withColumn("size", F.count(F.lit(1)).over(by_sig)).withColumn("low", F.min("f1").over(by_sig))
+        .withColumn("high", F.max("f1").over(by_sig))
+        .where("size > 1").select("sig", "f1", "low", "high"), "shared")
     name = classes.select(F.col("f1").alias("leader"), F.col("doc_id").alias("a"))
     first = (
-        shared.where("f1 <> leader").groupBy("f1").agg(F.min("leader").alias("leader"))
-        .join(classes.select("f1", F.col("doc_id").alias("b")), "f1").join(name, "leader").select("a", "b").distinct()
+        shared.groupBy("f1").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        .select("f1", F.explode(F.array("low", "high")).alias("leader")).where("f1 <> leader")
+        .join(classes.select("f1", F.col("doc_id").alias("b")), "f1").join(name, "leader")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
     links = verified(docs, first)
     joined = components(links)
