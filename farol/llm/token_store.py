@@ -28,6 +28,7 @@ END_ID = 2               # closes every document
 SHARD_IDS = 1 << 19      # ids after which a shard is closed
 SAMPLE = 512             # bits between two rank samples
 MAX_UNITS = 400_000      # encoded units a task keeps; beyond it they are dropped and made again
+RUN = 2000               # units encoded as one text
 _HEAD = struct.Struct("<4sBQ")
 _MAGIC = b"WVM1"
 
@@ -162,6 +163,7 @@ class UnitEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[str, bytes] = {}
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
 
     @staticmethod
     def units(text: str) -> list[str]:
@@ -174,6 +176,13 @@ class UnitEncoder:
                 out[-1] += " " + part
         return out
 
+    def _learn_run(self, run: list[str]) -> None:
+        """Units without white space inside, encoded as lines of one text: a line end between words is always a token of its own."""
+        ids = np.array(self.tokenizer.encode("\n".join(run), add_special_tokens=False).ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == self.line), len(ids))
+        for unit, a, b in zip(run, np.append(0, ends[:-1] + 1).tolist(), ends.tolist(), strict=True):
+            self.known[unit] = ids[a:b].tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [self.units(t) for t in texts]
@@ -181,8 +190,11 @@ class UnitEncoder:
         if len(self.known) + len(unseen) > MAX_UNITS:
             self.known = {}
             unseen = {u for units in split for u in units}
-        order = sorted(unseen)
-        for unit, coded in zip(order, self.tokenizer.encode_batch_fast(order, add_special_tokens=False), strict=True):
+        plain = sorted(u for u in unseen if u.split() == [u[u[:1] == " ":]])
+        for at in range(0, len(plain), RUN):
+            self._learn_run(plain[at : at + RUN])
+        rest = sorted(unseen.difference(plain))
+        for unit, coded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.known[unit] = np.array(coded.ids, "<u4").tobytes()
         return [b"".join(map(self.known.__getitem__, units)) for units in split]
 
