@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from farol import constants as K
 
 
+NUMBER = r"^\s*[-+]?(?:[0-9]+\.?[0-9]*(?:[eE][-+]?[0-9]+)?|\.[0-9]+(?:[eE][-+]?[0-9]+)?|(?i:inf|infinity))\s*$"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -21,11 +24,11 @@ def nan_to_null(c: Column | str) -> Column:
 def text_double(c: Column | str) -> Column:
     """E9 for text: double or NULL.
 
-    The pattern only screens out labels that cannot be numbers: a failed cast
-    raises and catches an exception per row, several times the price of a match.
+    The pattern admits whole numbers only: a plain cast would also read type
+    suffixes such as ``1.5d``, and a failed one costs several times a match.
     """
     c = _col(c)
-    return nan_to_null(F.when(c.rlike("^\\s*[-+]?[0-9.iI]"), c.try_cast("double")))
+    return nan_to_null(F.when(c.rlike(NUMBER), c.try_cast("double")))
 
 
 def decimal_text(c: Column | str) -> Column:

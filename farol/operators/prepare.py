@@ -14,6 +14,8 @@ from farol import constants as K
 from farol.functions import rules
 from farol.operators.order import exact_quantiles
 
+NO_VALUE = "sem valor"  # label of a category that is NULL in every training row
+
 
 def model_frame(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Group id, features as doubles and strings, strict 0/1 label."""
@@ -97,9 +99,9 @@ def preprocessor(df: DataFrame, numeric: list[str], categorical: list[str]) -> P
     Categories unseen in training become an all-zero block.
     """
     mode = {r["variavel"]: r["moda"] for r in modes(df, categorical).collect()} if categorical else {}
-    fills = ", ".join(
-        f"coalesce({c}, '{mode[c]}') AS {c}_f" for c in categorical if mode.get(c) is not None
-    )
+    # A category without any value gets one label.
+    literal = {c: (mode.get(c) or NO_VALUE).replace("\\", "\\\\").replace("'", "\\'") for c in categorical}
+    fills = ", ".join(f"coalesce({c}, '{literal[c]}') AS {c}_f" for c in categorical)
     stages = [SQLTransformer(statement=f"SELECT *{', ' + fills if fills else ''} FROM __THIS__")]
     stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_i" for c in numeric]))
     stages.append(VectorAssembler(inputCols=[f"{c}_i" for c in numeric], outputCol="numeric_raw"))

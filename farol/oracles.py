@@ -489,7 +489,7 @@ def all_sql() -> dict[str, str]:
         select count(*) as alunos_em_comum from (select id_aluno from lados where lado = 'treino'
           intersect select id_aluno from lados where lado = 'teste')""", "lados")
     o["u2_returning_students"] = sql("""
-        select id_aluno from mart where ano = 1995 intersect select id_aluno from mart where ano = 2001""", "mart")
+        select id_aluno from mart where ano < 1995 intersect select id_aluno from mart where ano >= 1995""", "mart")
     pairs = {"alunos x censo": ("id_municipio from students", "id_municipio from census"),
              "inse x censo": ("id_municipio from inse", "id_municipio from census"),
              "escola x municipio": ("id_escola from students", "id_municipio from census")}

@@ -90,3 +90,15 @@ def test_readable_names(spark):
     assert values(spark, "string", rows, rules.readable_feature("x")) == [
         "meta_2024", "UF: CE", "UF: 99", "Rede: Estadual"
     ]
+
+
+def test_type_suffixes_are_no_numbers(spark):
+    df = spark.createDataFrame([("1,5d",), ("1,5f",), ("1,5",), (" -2 ",), (",5",), ("1e3",), ("x",), ("1,2,3",)], "v string")
+    assert [r[0] for r in df.select(C.decimal_text("v")).collect()] == [None, None, 1.5, -2.0, 0.5, 1000.0, None, None]
+
+
+def test_modes_with_quotes_and_without_values(spark):
+    from farol.operators.prepare import preprocessor
+
+    df = spark.createDataFrame([("D'Oeste\\", None, 1.0), ("D'Oeste\\", None, 2.0), (None, None, 3.0)], "a string, b string, n double")
+    assert preprocessor(df, ["n"], ["a", "b"]).fit(df).transform(df).select("a_f", "b_f").distinct().collect() == [("D'Oeste\\", "sem valor")]
