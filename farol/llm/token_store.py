@@ -13,6 +13,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,7 @@ from farol.session import new_path
 END_ID = 2               # closes every document
 SHARD_IDS = 1 << 19      # ids after which a shard is closed
 SAMPLE = 512             # bits between two rank samples
-MAX_UNITS = 400_000      # encoded units a task keeps; beyond it they are dropped and made again
-RUN = 2000               # units encoded as one text
+MAX_UNITS = 1_000_000    # encoded units a worker keeps (some 200 MB); beyond it they are dropped and made again
 _HEAD = struct.Struct("<4sBQ")
 _MAGIC = b"WVM1"
 
@@ -153,7 +153,8 @@ class UnitEncoder:
     """The library's encoding, kept per unit: text is cut before each space that a non-space follows.
 
     A byte-level pre-tokenizer never joins across such a place, so the ids of
-    the units, in order, are the ids of the text.
+    the units, in order, are the ids of the text. Known units have a number;
+    the ids of unit k are ``flat[starts[k] : starts[k + 1]]``.
     """
 
     def __init__(self, spec: str):
@@ -162,8 +163,11 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, "<u4")
 
     @staticmethod
     def units(text: str) -> list[str]:
@@ -176,27 +180,29 @@ class UnitEncoder:
                 out[-1] += " " + part
         return out
 
-    def _learn_run(self, run: list[str]) -> None:
-        """Units without white space inside, encoded as lines of one text: a line end between words is always a token of its own."""
-        ids = np.array(self.tokenizer.encode("\n".join(run), add_special_tokens=False).ids, "<u4")
-        ends = np.append(np.flatnonzero(ids == self.line), len(ids))
-        for unit, a, b in zip(run, np.append(0, ends[:-1] + 1).tolist(), ends.tolist(), strict=True):
-            self.known[unit] = ids[a:b].tobytes()
+    def _learn(self, unseen: list[str]) -> None:
+        coded = [c.ids for c in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        self.known.update(zip(unseen, range(len(self.known), len(self.known) + len(unseen)), strict=True))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(coded), "<u4", int(sizes.sum()))])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [self.units(t) for t in texts]
-        unseen = {u for units in split for u in units} - self.known.keys()
+        units = list(chain.from_iterable(split))
+        unseen = [u for u in set(units) if u not in self.known]
         if len(self.known) + len(unseen) > MAX_UNITS:
-            self.known = {}
-            unseen = {u for units in split for u in units}
-        plain = sorted(u for u in unseen if u.split() == [u[u[:1] == " ":]])
-        for at in range(0, len(plain), RUN):
-            self._learn_run(plain[at : at + RUN])
-        rest = sorted(unseen.difference(plain))
-        for unit, coded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[unit] = np.array(coded.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, units)) for units in split]
+            self._forget()
+            unseen = list(set(units))
+        self._learn(unseen)
+        number = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        first = self.starts[number]
+        size = self.starts[number + 1] - first
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        stops = ends[np.cumsum([len(u) for u in split], dtype=np.int64) - 1].tolist()
+        return [ids[a:b].tobytes() for a, b in zip([0, *stops], stops, strict=False)]
 
 
 @lru_cache(maxsize=2)
