@@ -99,7 +99,6 @@ SEARCH_SPACE = {
         "n_estimators": (100, 500, "int"), "max_depth": (3, 10, "int"),
         "learning_rate": (0.01, 0.3, "log"), "subsample": (0.5, 1.0, "float"),
         "colsample_bytree": (0.5, 1.0, "float"), "min_child_weight": (1, 10, "int"),
-        "reg_lambda": (1e-3, 10.0, "log"),
     },
 }
 MODEL_NAMES = list(DEFAULT_PARAMS)

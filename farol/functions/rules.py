@@ -90,3 +90,10 @@ def readable_feature(c: Column | str) -> Column:
         .when(net != "", F.concat(F.lit("Rede: "), net))
         .otherwise(name)
     )
+
+
+def key_range(key: Column) -> tuple[Column, Column]:
+    """Smallest and largest key as aggregates: by value where keys are integers, else by text."""
+    number = key.try_cast("bigint")
+    rank = F.when(number.isNotNull(), F.struct(number, key))
+    return F.coalesce(F.min_by(key, rank), F.min(key)), F.coalesce(F.max_by(key, rank), F.max(key))

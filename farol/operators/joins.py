@@ -11,35 +11,47 @@ from farol.functions import rules
 BROADCAST_MAX_ROWS = 200_000
 # A key holding more than this share of the rows is hot, so there are at most 1 / HOT_SHARE of them.
 HOT_SHARE = 0.001
-HOT_PIECES = 64
+# A hot key's rows are cut into pieces of about this many; its dimension row is repeated once per piece.
+PIECE_ROWS = 1_000
+# Pieces are made in blocks, so no array grows with the rows of a key.
+PIECE_BLOCK = 10_000
 
 
-def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
-    """Keys above HOT_SHARE of all rows, from a table of rows per key."""
+def hot_keys(counts: DataFrame, keys: list[str], n: str = "n", piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Keys above HOT_SHARE of all rows and the pieces each is cut into, from a table of rows per key."""
     total = counts.agg(F.sum(n)).scalar()
-    return counts.where(F.col(n) > F.lit(HOT_SHARE) * total).select(*keys).dropna()
+    return counts.where(F.col(n) > F.lit(HOT_SHARE) * total).dropna(subset=keys).select(
+        *keys, F.ceil(F.col(n) / F.lit(piece_rows)).cast("bigint").alias("_pieces")
+    )
 
 
 def salted_left_join(
     fact: DataFrame, dim: DataFrame, keys: list[str], hot: DataFrame, spread_on: list[str],
 ) -> DataFrame:
-    """Left join on unique ``keys`` of ``dim``, with hot and NULL keys cut into pieces.
+    """Left join on unique ``keys`` of ``dim``, with hot keys cut into pieces and NULL keys spread over all tasks.
 
     Only hot dimension rows are repeated, once per piece; the hot list is
-    bounded by HOT_SHARE, hence the broadcast.
+    bounded by HOT_SHARE, hence the broadcast. A NULL key finds nothing in any
+    piece, so its rows need no counterpart.
     """
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    marked = F.broadcast(hot)
     unknown = F.lit(False)
     for key in keys:
         unknown = unknown | F.col(key).isNull()
-    piece = F.pmod(F.xxhash64(*spread_on), F.lit(HOT_PIECES)).cast("int")
+    spread = F.xxhash64(*spread_on)
     left = (
         fact.join(marked, keys, "left")
-        .withColumn("_piece", F.when(F.col("_hot") | unknown, piece).otherwise(0))
-        .drop("_hot")
+        .withColumn("_piece", F.when(unknown, spread).otherwise(F.pmod(spread, F.coalesce("_pieces", F.lit(1)))))
+        .drop("_pieces")
+    )
+    last = F.coalesce("_pieces", F.lit(1).cast("bigint")) - 1
+    start = F.col("_block") * PIECE_BLOCK
+    right = (
+        dim.join(marked, keys, "left")
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / PIECE_BLOCK))))
+        .withColumn("_piece", F.explode(F.sequence(start, F.least(start + (PIECE_BLOCK - 1), last))))
+        .drop("_pieces", "_block")
     )
-    pieces = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_PIECES - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.join(marked, keys, "left").withColumn("_piece", F.explode(pieces)).drop("_hot")
     return left.join(right, [*keys, "_piece"], "left").drop("_piece")
 
 
@@ -83,9 +95,8 @@ def key_match(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFra
 
     def side(c: str) -> list[Column]:
         mine = F.when(F.col(c) == 1, F.col(key))
-        return [
-            F.count(c).alias(f"{c}_keys"), F.min(mine).alias(f"{c}_min"), F.max(mine).alias(f"{c}_max"),
-        ]
+        least, greatest = rules.key_range(mine)
+        return [F.count(c).alias(f"{c}_keys"), least.alias(f"{c}_min"), greatest.alias(f"{c}_max")]
 
     matched = F.count(F.when(F.col("in_left").isNotNull() & F.col("in_right").isNotNull(), 1))
     return both.agg(*side("in_left"), *side("in_right"), matched.alias("matched")).select(

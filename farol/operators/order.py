@@ -91,7 +91,7 @@ def number_rows(
     the same layout even when tasks are retried.
     """
     if rows is not None and rows <= max_rows:
-        return df.withColumn(name, F.row_number().over(W.orderBy(*order)))
+        return df.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("bigint"))
     placed, _ = stage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ordered")
     placed = placed.withColumns({
         "_part": F.shiftright("_at", 33), "_pos": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)),
@@ -101,6 +101,6 @@ def number_rows(
     offsets = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
     return (
         placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, (F.col("_before") + F.col("_pos") + 1).cast("int"))
+        .withColumn(name, F.col("_before") + F.col("_pos") + 1)
         .drop("_at", "_part", "_pos", "_before")
     )

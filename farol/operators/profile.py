@@ -169,13 +169,14 @@ def duplicate_students(df: DataFrame) -> DataFrame:
 
 def id_audit(df: DataFrame, columns: list[str]) -> DataFrame:
     """Filled rows, distinct values and range per column, all as text of one long table."""
+    least, greatest = rules.key_range(F.col("valor"))
     return (
         df.select(*[F.col(c).cast("string").alias(c) for c in columns])
         .unpivot([], columns, "coluna", "valor").where(F.col("valor").isNotNull())
         .groupBy("coluna", "valor").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("coluna").agg(
             F.sum("n").alias("linhas"), F.count(F.lit(1)).alias("distintos"),
-            F.min("valor").alias("menor"), F.max("valor").alias("maior"), F.max("n").alias("maior_grupo"),
+            least.alias("menor"), greatest.alias("maior"), F.max("n").alias("maior_grupo"),
         )
     )
 

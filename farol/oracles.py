@@ -323,6 +323,15 @@ def arms() -> str:
 # --- one statement per query -------------------------------------------------------------------
 
 
+def key_min(c: str) -> str:
+    """Smallest key: by value where keys are integers, else by text."""
+    return f"coalesce(arg_min({c}, try_cast({c} as bigint)), min({c}))"
+
+
+def key_max(c: str) -> str:
+    return f"coalesce(arg_max({c}, try_cast({c} as bigint)), max({c}))"
+
+
 def all_sql() -> dict[str, str]:
     o: dict[str, str] = {}
 
@@ -449,6 +458,12 @@ def all_sql() -> dict[str, str]:
           {r('avg(taxa_alfabetizacao_escola_prior)')} as taxa_prior
         from students a left join d_school e on a.id_escola = e.id_escola and a.ano = e.ano group by 1, 2, 3""",
         "students", "d_school")
+    o["j2_salted_join"] = sql(f"""
+        select a.ano, substr(a.id_municipio, 1, 2) as sigla_uf_code, count(*) as n,
+          count(taxa_alfabetizacao_municipio) as achados, {r('avg(taxa_alfabetizacao_municipio)')} as taxa
+        from students a left join d_mun m
+          on case when a.presenca = 'Presente' then substr(a.id_municipio, 1, 6) end = m.id_municipio and a.ano = m.ano
+        group by 1, 2""", "students", "d_mun")
     o["j4_goals_join"] = sql(f"""
         select a.ano, substr(a.id_municipio, 1, 2) as sigla_uf_code, count(*) as n, count(meta_2030) as achados,
           {r('avg(meta_2024)')} as meta_2024, count(nivel_alfabetizacao) as niveis,
@@ -494,9 +509,9 @@ def all_sql() -> dict[str, str]:
              "inse x censo": ("id_municipio from inse", "id_municipio from census"),
              "escola x municipio": ("id_escola from students", "id_municipio from census")}
     o["j13_key_match"] = sql(" union all ".join(f"""
-        select '{name}' as pair, (select count(*) from a{i}) as in_left_keys, (select min(k) from a{i}) as in_left_min,
-          (select max(k) from a{i}) as in_left_max, (select count(*) from b{i}) as in_right_keys,
-          (select min(k) from b{i}) as in_right_min, (select max(k) from b{i}) as in_right_max,
+        select '{name}' as pair, (select count(*) from a{i}) as in_left_keys, (select {key_min('k')} from a{i}) as in_left_min,
+          (select {key_max('k')} from a{i}) as in_left_max, (select count(*) from b{i}) as in_right_keys,
+          (select {key_min('k')} from b{i}) as in_right_min, (select {key_max('k')} from b{i}) as in_right_max,
           (select count(*) from a{i} where k in (select k from b{i})) as matched,
           round((select count(*) from a{i} where k in (select k from b{i})) * 100.0::double
             / (select count(*) from a{i}), 4) as match_pct""" for i, name in enumerate(pairs)
@@ -556,10 +571,10 @@ def all_sql() -> dict[str, str]:
           round((count(*) / (sum(count(*)) over (partition by alfabetizado)::double * any_value(w))) + 3e-9::double, 6) as densidade
         from g, e group by alfabetizado, cast(least(floor((x - lo) / w), 49) as int), least(floor((x - lo) / w), 49)
         """, "escopo")
-    o["a28_id_audit"] = sql(each(["id_aluno", "id_municipio", "id_escola", "rede", "sigla_uf_code"], """
-        select '{c}' as coluna, cast(sum(n) as bigint) as linhas, count(*) as distintos, min(v) as menor,
-          max(v) as maior, max(n) as maior_grupo
-        from (select {c} as v, count(*) as n from mart where {c} is not null group by {c})"""), "mart")
+    o["a28_id_audit"] = sql(each(["id_aluno", "id_municipio", "id_escola", "rede", "sigla_uf_code"], f"""
+        select '{{c}}' as coluna, cast(sum(n) as bigint) as linhas, count(*) as distintos, {key_min('v')} as menor,
+          {key_max('v')} as maior, max(n) as maior_grupo
+        from (select {{c}} as v, count(*) as n from mart where {{c}} is not null group by {{c}})"""), "mart")
     o["a29_cell_grain"] = sql(f"""
         select count(*) as celulas, count(distinct id_municipio_7dig) as municipios,
           {r('avg(n_escolas_censo_celula)')} as escolas_por_celula,
@@ -694,11 +709,11 @@ def all_sql() -> dict[str, str]:
             'risco_medio', 'taxa_alfabetizacao_real', 'taxa_alfabetizacao_municipio', 'inse_municipio',
             'percentual_participacao', 'meta_2030', 'gap_meta_2030'])}, uf from municipios""", "municipios")
     o["m29_risk_ranking"] = sql(f"""
-        select cast(row_number() over (order by risco_medio desc, id_municipio) as int) as posicao, id_municipio, uf,
+        select row_number() over (order by risco_medio desc, id_municipio) as posicao, id_municipio, uf,
           n_alunos_avaliados, {', '.join(f'{r(c)} as {c}' for c in [
               'risco_medio', 'taxa_alfabetizacao_real', 'inse_municipio', 'gap_meta_2030'])} from municipios""", "municipios")
     o["w1_global_rank"] = sql("""
-        select id_aluno, n, cast(row_number() over (order by n desc, id_aluno) as int) as posicao
+        select id_aluno, n, row_number() over (order by n desc, id_aluno) as posicao
         from (select id_aluno, count(*) as n from mart group by id_aluno)""", "mart")
     o["a10_risk_by_state"] = sql(f"""
         select uf, count(*) as municipios, {r('avg(risco_medio)')} as risco_medio from municipios

@@ -12,7 +12,6 @@ from farol.functions import conform as C
 from farol.operators import dimensions as D
 from farol.operators.joins import BROADCAST_MAX_ROWS, hot_keys, lookup_join
 from farol.sources.silver import Silver
-from farol.sources.star import Star
 from farol.sources.sinks import read_table, stage, write_mart
 
 MART_SCHEMA = (
@@ -57,12 +56,14 @@ def join_history(rows: DataFrame, by_school: DataFrame, prior_rows: int, max_row
 
 
 def build_mart(
-    silver: Silver | Star, years: D.Years = None, lag_years: int = 0, max_rows: int = BROADCAST_MAX_ROWS,
+    silver: Silver, years: D.Years = None, lag_years: int = 0, max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Mart rows in the published column order.
 
     The dimensions are written first, so their sizes are known when each join
-    is chosen. Within the bound no student row is shuffled at all.
+    is chosen. Within the bound no student row is shuffled at all. Beyond it
+    the hot keys of every join come from one count of the student rows, written
+    before the first join, so the plan holds the facts once.
     """
     dims = {
         "inse": D.municipal_inse(silver.inse),
@@ -77,9 +78,14 @@ def build_mart(
     spread = ["id_aluno", "peso_aluno"]
 
     rows = student_rows(silver.students)
-    rows = lookup_join(rows, inse, inse_rows, ["id_municipio"], spread, max_rows=max_rows)
-    rows = lookup_join(rows, year, year_rows, ["id_municipio", "ano"], spread, max_rows=max_rows)
-    rows = lookup_join(rows, cell, cell_rows, D.CELL, spread, max_rows=max_rows)
+    counts = None
+    if max(inse_rows, year_rows, cell_rows) > max_rows:
+        counts, _ = stage(rows.groupBy("id_municipio", *D.CELL).agg(F.count(F.lit(1)).alias("n")), "key-counts")
+    for dim, dim_rows, keys in (
+        (inse, inse_rows, ["id_municipio"]), (year, year_rows, ["id_municipio", "ano"]), (cell, cell_rows, D.CELL),
+    ):
+        hot = hot_keys(counts.groupBy(*keys).agg(F.sum("n").alias("n")), keys) if counts else None
+        rows = lookup_join(rows, dim, dim_rows, keys, spread, hot, max_rows)
     rows = join_history(rows, school, school_rows, max_rows)
     return rows.withColumns({
         "gap_meta_2030": C.gap("taxa_alfabetizacao_municipio", "meta_2030"),
@@ -87,7 +93,7 @@ def build_mart(
     }).select(*MART_COLUMNS)
 
 
-def save_mart(silver: Silver | Star, path: str, **options) -> int:
+def save_mart(silver: Silver, path: str, **options) -> int:
     """Build and write the mart; returns the rows written."""
     return write_mart(build_mart(silver, **options), path)
 

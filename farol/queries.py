@@ -305,6 +305,19 @@ def j2_same_year_join(spark, base):
     )
 
 
+def j2_salted_join(spark, base):
+    """Shuffled, with hot keys in small pieces and absentees without a key."""
+    silver, keys = _silver(spark, base), ["id_municipio", "ano"]
+    present = F.when(F.col("presenca") == "Presente", F.col("id_municipio"))
+    rows = M.student_rows(silver.students).withColumn("id_municipio", present)
+    hot = joins.hot_keys(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, piece_rows=10)
+    out = joins.salted_left_join(rows, D.municipal_year(silver.municipal), keys, hot, ["id_aluno", "peso_aluno"])
+    return out.groupBy("ano", "sigla_uf_code").agg(
+        F.count(F.lit(1)).alias("n"), F.count("taxa_alfabetizacao_municipio").alias("achados"),
+        _r(F.avg("taxa_alfabetizacao_municipio")).alias("taxa"),
+    )
+
+
 def j3_prior_year_join(spark, base):
     silver = _silver(spark, base)
     by_school, n = sinks.stage(D.school_year(silver.students), "school-year")
@@ -841,7 +854,7 @@ QUERIES = [
     e20_safe_divide, e23_readable_names,
     a1_municipal_same_year, a2_school_prior_rate, a3_inse, a4_goals, a5_census_cell, a6_indicator_cell,
     a7_lagged_outcome,
-    j1_inse_join, j2_same_year_join, j3_prior_year_join, j3_salted_join, j4_goals_join, j5_j7_cell_joins,
+    j1_inse_join, j2_same_year_join, j2_salted_join, j3_prior_year_join, j3_salted_join, j4_goals_join, j5_j7_cell_joins,
     mart_rollup, q5_row_preservation, j8_goal_merge, j10_state_rates, j11_states_without_data, j12_split_overlap,
     u2_returning_students, j13_key_match,
     a13_duplicate_students, a14_rate_by_network, a15_rate_by_state, a15_rate_range, a16_null_profile,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LABEL_CUT = 70000.0
+SPLIT_BYTES = 128 << 20  # a read split at Spark's default
 
 _schemas: dict[str, StructType] = {}
 
@@ -51,12 +52,10 @@ class Star:
 
     @cached_property
     def _lineitem(self) -> DataFrame:
-        """Line items; a file with fewer splits than the cluster has cores is spread over them.
-
-        Tables of any size worth a cluster have more splits than cores and stay as they are.
-        """
-        lines, cores = self.table("lineitem"), self.spark.sparkContext.defaultParallelism
-        return lines.repartition(cores, "l_orderkey") if lines.rdd.getNumPartitions() < cores else lines
+        """Line items; a table of no more than one read split is spread over the cores, any larger one stays as it is."""
+        lines = self.table("lineitem")
+        size = int(str(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return lines.repartition(self.spark.sparkContext.defaultParallelism, "l_orderkey") if size <= SPLIT_BYTES else lines
 
     @cached_property
     def _lines(self) -> DataFrame:

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from farol.functions import rules
 from farol.operators import dimensions as D
 from farol.operators import joins
 from farol.plans import mart as M
@@ -49,6 +50,34 @@ def test_hot_and_null_keys_are_cut_into_pieces(spark, skewed):
     assert max(sizes) < 0.25 * sum(sizes)
 
 
+def test_pieces_follow_the_rows_of_a_key(spark, skewed):
+    fact, dim = skewed
+    counts = fact.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    hot = joins.hot_keys(counts, ["k"], piece_rows=10)
+    rows = {r["k"]: r["n"] for r in counts.collect()}
+    pieces = {r["k"]: r["_pieces"] for r in hot.collect()}
+    assert pieces["hot"] > 64 and all(n == -(-rows[k] // 10) for k, n in pieces.items())
+    assert totals(joins.salted_left_join(fact, dim, ["k"], hot, ["id"])) == totals(fact.join(dim, "k", "left"))
+
+
+def test_pieces_beyond_one_block(spark, skewed, monkeypatch):
+    monkeypatch.setattr(joins, "PIECE_BLOCK", 7)
+    test_pieces_follow_the_rows_of_a_key(spark, skewed)
+
+
+def test_shuffled_mart_holds_the_facts_once(spark, base):
+    plan = M.build_mart(Star(spark, base), max_rows=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and len([x for x in plan.split("\n") if "Relation" in x and "l_orderkey" in x]) == 1
+    assert plan.count("Join LeftOuter") <= 12  # four joins, and the hot marks on both sides of each
+
+
+def test_key_ranges_follow_the_numbers(spark):
+    a = spark.createDataFrame([(str(i),) for i in range(150)], "k string")
+    row = joins.key_match(a, a.where("k < '2'"), "k", "x").first()
+    assert (row["in_left_min"], row["in_left_max"], row["in_right_max"]) == ("0", "149", "149")
+    assert spark.createDataFrame([("b",), ("a",)], "k string").agg(*rules.key_range(F.col("k"))).first()[:] == ("a", "b")
+
+
 def test_small_dimension_is_broadcast_and_large_is_not(spark, skewed):
     fact, dim = skewed
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
