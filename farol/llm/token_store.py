@@ -9,11 +9,15 @@ rank and select, and whole runs by undoing its levels.
 
 from __future__ import annotations
 
+import codecs
+import json
+import re
 import struct
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress, count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +32,20 @@ from farol.session import new_path
 END_ID = 2               # closes every document
 SHARD_IDS = 1 << 19      # ids after which a shard is closed
 SAMPLE = 512             # bits between two rank samples
-MAX_UNITS = 1_000_000    # encoded units a worker keeps (some 200 MB); beyond it they are dropped and made again
+MAX_PIECES = 1_000_000   # encoded pieces a worker keeps (some 200 MB); beyond it they are dropped and made again
 _HEAD = struct.Struct("<4sBQ")
 _MAGIC = b"WVM1"
 
+# Characters whose class every Unicode version agrees on: letters, digits, spaces, and signs that are none of these.
+_LETTERS, _DIGITS, _SPACES, _SIGNS = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԧ", "0-9", r" \t\n\r", r"!-/:-@\[-`{-~¡«¿»–—‘’“”…"
+_KNOWN = re.compile(f"[{_LETTERS}{_DIGITS}{_SPACES}{_SIGNS}]*")
+# Fixed value: the byte-level pre-tokenizer's pattern, over these characters.
+_PIECE = re.compile(rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[{_DIGITS}]+| ?[{_SIGNS}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
+# Fixed value: byte-level models show printable Latin-1 as itself and the other bytes, in order, from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+_SHOWN = "".join(chr(b if b in _PRINTED else 0x100 + _OTHERS.index(b)) for b in range(256))
+
 
 class WaveletMatrix:
     """Bit planes from the highest bit down; after each plane ids with a 0 there stand before those with a 1."""
@@ -46,11 +60,11 @@ class WaveletMatrix:
         for level in range(depth - 1, -1, -1):
             bits = (now >> level & 1).astype(bool)
             plane = np.packbits(bits, bitorder="little")
-            low = now[~bits]
+            low = now.take(np.flatnonzero(~bits))  # positions first: a mask alone mispredicts every other bit
             planes.append(plane)
             zeros.append(len(low))
             ranks.append(cls._samples(plane))
-            now = np.concatenate([low, now[bits]])
+            now = np.concatenate([low, now.take(np.flatnonzero(bits))])
         return cls(len(ids), planes, zeros, ranks)
 
     @staticmethod
@@ -143,18 +157,21 @@ class WaveletMatrix:
             bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             before = np.empty_like(now)
             zero, bit = self.zeros[level], depth - 1 - level
-            before[~bits] = now[:zero]
-            before[bits] = now[zero:] | now.dtype.type(1 << bit)
+            before[np.flatnonzero(~bits)] = now[:zero]
+            before[np.flatnonzero(bits)] = now[zero:] | now.dtype.type(1 << bit)
             now = before
         return now.astype(np.uint32)
 
 
-class UnitEncoder:
-    """The library's encoding, kept per unit: text is cut before each space that a non-space follows.
+class PieceEncoder:
+    """The library's encoding, kept per piece.
 
-    A byte-level pre-tokenizer never joins across such a place, so the ids of
-    the units, in order, are the ids of the text. Known units have a number;
-    the ids of unit k are ``flat[starts[k] : starts[k + 1]]``.
+    A text of known characters is cut by the pattern of the byte-level
+    pre-tokenizer, and each new piece goes to the library's model once. Other
+    texts are cut before each space that a non-space follows, where the
+    pre-tokenizer never joins; what holds other characters or an added token
+    there goes through the whole library. The ids of the pieces, in order, are
+    the ids of the text. Those of piece k are ``flat[starts[k] : starts[k + 1]]``.
     """
 
     def __init__(self, spec: str):
@@ -163,10 +180,16 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        said = json.loads(spec)
+        self.added = [t["content"] for t in said.get("added_tokens") or []]
+        cut = said.get("pre_tokenizer") or {}
+        plain = not said.get("normalizer") and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
+        self.known_text = _KNOWN.fullmatch if plain else lambda text: None
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.numbers: dict[str, int] = defaultdict(count().__next__)
         self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, "<u4")
 
     @staticmethod
@@ -180,34 +203,46 @@ class UnitEncoder:
                 out[-1] += " " + part
         return out
 
+    def _is_plain(self, text: str) -> bool:
+        return bool(self.known_text(text)) and not any(t in text for t in self.added)
+
+    def pieces(self, text: str) -> list[str]:
+        if self._is_plain(text):
+            return _PIECE.findall(text)
+        return list(chain.from_iterable(_PIECE.findall(u) if self._is_plain(u) else [u] for u in self.units(text)))
+
     def _learn(self, unseen: list[str]) -> None:
-        coded = [c.ids for c in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
+        plain = [self._is_plain(p) for p in unseen]
+        # Pieces of known characters hold no NUL.
+        raw = "\0".join(compress(unseen, plain)).encode()
+        shown = iter(codecs.charmap_decode(raw, "strict", _SHOWN)[0].split(_SHOWN[0]))
+        others = [p for p, known in zip(unseen, plain, strict=True) if not known]
+        whole = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        tokenize = self.model.tokenize
+        coded = [[t.id for t in tokenize(next(shown))] if known else next(whole).ids for known in plain]
         sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        self.known.update(zip(unseen, range(len(self.known), len(self.known) + len(unseen)), strict=True))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(coded), "<u4", int(sizes.sum()))])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [self.units(t) for t in texts]
-        units = list(chain.from_iterable(split))
-        unseen = [u for u in set(units) if u not in self.known]
-        if len(self.known) + len(unseen) > MAX_UNITS:
+        split = [self.pieces(t) for t in texts]
+        if len(self.numbers) >= MAX_PIECES:
             self._forget()
-            unseen = list(set(units))
-        self._learn(unseen)
-        number = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        met, total = len(self.numbers), sum(map(len, split))
+        number = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(split)), np.int64, total)
+        self._learn(list(islice(self.numbers, met, None)))
         first = self.starts[number]
         size = self.starts[number + 1] - first
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(first - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
-        stops = ends[np.cumsum([len(u) for u in split], dtype=np.int64) - 1].tolist()
-        return [ids[a:b].tobytes() for a, b in zip([0, *stops], stops, strict=False)]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+        stops = ends[np.cumsum([0, *map(len, split)])].tolist()
+        return [ids[a:b].tobytes() for a, b in pairwise(stops)]
 
 
 @lru_cache(maxsize=2)
-def encoder(spec: str) -> UnitEncoder:
-    return UnitEncoder(spec)
+def encoder(spec: str) -> PieceEncoder:
+    return PieceEncoder(spec)
 
 
 SHARD = "part int, seq int, n_ids long, doc_ids array<long>, starts array<long>, body binary"

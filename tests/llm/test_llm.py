@@ -173,6 +173,19 @@ def test_piece_starts_do_not_depend_on_lanes():
     assert (token_counts.piece_starts(classes, 7) == token_counts.piece_starts(classes, 8192)).all()
 
 
+def test_pieces_are_encoded_as_whole_texts():
+    with open(BYTE_BPE, encoding="utf-8") as f:
+        spec = f.read()
+    draw = random.Random(3)
+    parts = ["a", "Zé", " ", "  ", "\n", "\t", "\r\n", "'s", "'re", "'LL", "’s", "12", "½", "一", "ß", "<|endoftext|>", "<|", "…", "\u00a0", "\u2003",
+             "\x1c", "\x85", "\0", "😀", "Ж", "ґ", "ɐ", "ª", "×", "_", "\u00ad", "\u200b", "\u0303", "\u0483", "\v"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 14))) for _ in range(20_000)]
+    texts += [f"a{chr(c)}b {chr(c)} 1{chr(c)}'{chr(c)}  {chr(c)}\n{chr(c)}" for c in range(0x3000)]
+    expected = Tokenizer.from_str(spec).encode_batch(texts, add_special_tokens=False)
+    got = token_store.PieceEncoder(spec).encode(texts)
+    assert [t for t, c, raw in zip(texts, expected, got, strict=True) if np.array(c.ids, "<u4").tobytes() != raw] == []
+
+
 def test_token_store_round_trip(spark, base):
     docs = spark.read.parquet(f"{base}/documents.parquet")
     tok, start, want = Tokenizer.from_file(BYTE_BPE), 0, {}
