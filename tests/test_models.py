@@ -3,13 +3,20 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from farol import constants as K
-from farol import queries as q
 from farol.operators import experiment, explain, metrics, models, policy, prepare, search, split
 from farol.plans import answers, training
 from farol.session import new_path
 from farol.sources.gold import gold_mart
 
 
+# Small settings: these tests look at properties of fits, not at their quality.
+LIGHT = {
+    "logistic": {"C": 1.0, "max_iter": 50},
+    "random_forest": {"n_estimators": 10, "max_depth": 6, "min_samples_leaf": 2, "max_features": "sqrt"},
+    "xgboost": {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.8, "min_child_weight": 1},
+}
+
+
 @pytest.fixture(scope="module")
 def mart(spark, base):
     return gold_mart(spark, base)
@@ -25,7 +32,7 @@ def frames(mart):
 def fitted(frames):
     train, _ = frames
     pre = prepare.preprocessor(train, K.NUMERIC_FEATURES, K.CATEGORICAL_FEATURES).fit(train)
-    return {n: models.fit(train, n, q.LIGHT[n], pre=pre) for n in K.MODEL_NAMES}
+    return {n: models.fit(train, n, LIGHT[n], pre=pre) for n in K.MODEL_NAMES}
 
 
 @pytest.mark.parametrize("name", K.MODEL_NAMES)
@@ -38,7 +45,7 @@ def test_scores_are_probabilities_with_signal(frames, fitted, name):
 
 def test_random_label_has_no_signal(frames):
     train, test = (d.withColumn("label", (F.xxhash64("id_aluno", *K.NUMERIC_FEATURES) % 2 == 0).cast("double")) for d in frames)
-    model = models.fit(train, "logistic", q.LIGHT["logistic"])
+    model = models.fit(train, "logistic", LIGHT["logistic"])
     auc = models.evaluate(models.score(model, test), "logistic", {}).first()["roc_auc"]
     assert abs(auc - 0.5) < 0.08
 
@@ -122,15 +129,22 @@ def test_leaking_feature_raises_the_alarm(frames):
     """Positive control: the label of a row's own class-mates, known to the test rows only."""
     train, test = frames
     leaky = test.withColumn("peso_aluno", F.col("label") * 10)
-    model = models.fit(train, "logistic", q.LIGHT["logistic"])
+    model = models.fit(train, "logistic", LIGHT["logistic"])
     shown = models.evaluate(models.score(model, leaky), "logistic", {}).first()["roc_auc"]
-    cv = experiment.grouped_cv_auc(train, "logistic", q.LIGHT["logistic"])
+    cv = experiment.grouped_cv_auc(train, "logistic", LIGHT["logistic"])
     df = train.sparkSession.createDataFrame([(shown, cv)], "roc_auc_teste double, roc_auc_cv_media double")
     assert experiment.leakage_alarm(df).first()["suspeita_de_vazamento"]
 
 
+def test_arms_with_champion_and_its_cross_validation(frames):
+    arms = {"todas": K.FEATURES, "sem_inse": [c for c in K.FEATURES if c != "inse_municipio"]}
+    row = experiment.compare_arms(*frames, arms, "todas", "sem_inse", ["logistic"], LIGHT, folds=2).first()
+    assert (row["campeao"], row["braco"], row["cv_folds"]) == ("logistic", "todas", 2)
+    assert 0.5 < row["roc_auc_cv_media"] < 1 and set(row["delta_por_modelo"]) == {"logistic"}
+
+
 def test_comparison_and_reports(spark, mart, tmp_path):
-    table, fitted = training.train_and_compare(mart, q.LIGHT, ["logistic"], str(tmp_path / "m"), str(tmp_path / "r"))
+    table, fitted = training.train_and_compare(mart, LIGHT, ["logistic"], str(tmp_path / "m"), str(tmp_path / "r"))
     assert training.champion(table).first()["campeao"] == "logistic"
     assert models.load(spark, str(tmp_path / "m" / "logistic")) is not None
     reports = answers.policy_reports(mart, fitted["logistic"], str(tmp_path / "out"))
