@@ -12,6 +12,11 @@ against the whole item.
 
 Every window of a text is embedded. An item is represented by windows of the
 same size along its whole length, so it is found when any of them is near.
+
+The walks may miss, above all short items. So each item is also cut into one
+piece more than the edits it allows: edits that stay within the limit leave one
+piece unchanged, and every run of a text equal to a piece is a candidate. That
+alone finds whatever the exact verification would report.
 """
 
 from __future__ import annotations
@@ -65,6 +70,26 @@ class Walk:
         return now[:n]
 
 
+def limit_of(words: int) -> int:
+    """Edits an item of so many words allows."""
+    return (100 - SIMILARITY) * words // 100
+
+
+def piece_size(words: int) -> int:
+    """Words of a piece: one piece more than the limit fits into the item side by side."""
+    return words // (limit_of(words) + 1)
+
+
+def piece_keys(words: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
+    """Key of the run of each size at each word that begins a full one."""
+    out, key = {}, np.zeros(len(words), np.uint64)
+    for k in range(1, min(max(sizes, default=0), len(words)) + 1):
+        key = mix(key[: len(words) - k + 1] + words[k - 1 :] + np.uint64(k))
+        if k in sizes:
+            out[k] = (key >> np.uint64(32)).astype(np.uint32)
+    return out
+
+
 def distance_within(item: np.ndarray, text: np.ndarray, limit: int) -> tuple[int, int] | None:
     """Least edit distance between the item and any run of ``text``, with that run's end; None above ``limit``."""
     row = list(range(len(item) + 1))
@@ -92,7 +117,7 @@ class Items:
                 self.ids.append(item)
                 self.words.append(words)
                 self.known.append(Counter(words.tolist()))
-        self.tables: list[tuple[Walk, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        self.tables: list[tuple[Walk | int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for size in SIZES:
             mine = [i for i, w in enumerate(self.words) if next(s for s in SIZES if s <= len(w)) == size]
             for walk in [Walk(k, size) for k in range(WALKS if size > 3 else 1)] if mine else []:
@@ -103,17 +128,30 @@ class Items:
                     keys.append(found[at])
                     owner += [i] * len(at)
                     start += at
-                flat = np.concatenate(keys)
-                order = np.argsort(flat, kind="stable")
-                first = np.zeros(1 << 16, bool)
-                first[flat >> np.uint32(16)] = True
-                self.tables.append((walk, flat[order], np.array(owner)[order], np.array(start)[order], first))
+                self._table(walk, keys, owner, start)
+        self.sizes = sorted({piece_size(len(w)) for w in self.words})
+        for size in self.sizes:
+            keys, owner, start = [], [], []
+            for i in (i for i, w in enumerate(self.words) if piece_size(len(w)) == size):
+                at = [size * k for k in range(limit_of(len(self.words[i])) + 1)]
+                keys.append(piece_keys(self.words[i], [size])[size][at])
+                owner += [i] * len(at)
+                start += at
+            self._table(size, keys, owner, start)
+
+    def _table(self, of: Walk | int, keys: list[np.ndarray], owner: list[int], start: list[int]) -> None:
+        flat = np.concatenate(keys)
+        order = np.argsort(flat, kind="stable")
+        first = np.zeros(1 << 16, bool)
+        first[flat >> np.uint32(16)] = True
+        self.tables.append((of, flat[order], np.array(owner)[order], np.array(start)[order], first))
 
     def candidates(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, presumed first word) of all windows that share a key with an item's window."""
+        """(item, presumed first word) of all windows that share a key with an item's window or piece."""
         found: set[tuple[int, int]] = set()
-        for walk, keys, owner, start, first in self.tables:
-            got = walk.keys(words)
+        pieces = piece_keys(words, self.sizes)
+        for of, keys, owner, start, first in self.tables:
+            got = of.keys(words) if isinstance(of, Walk) else pieces.get(of, np.empty(0, np.uint32))
             at = np.flatnonzero(first[got >> np.uint32(16)])
             lo = np.searchsorted(keys, got[at], "left")
             hi = np.searchsorted(keys, got[at], "right")
@@ -129,7 +167,7 @@ class Items:
                 out[i] = (0, at + len(self.words[i]))
         for i, at in sorted(x for x in found if x[0] not in out):
             item = self.words[i]
-            limit = (100 - SIMILARITY) * len(item) // 100
+            limit = limit_of(len(item))
             low = max(0, at - limit)
             region = words[low : max(0, at + len(item) + limit)]
             inside = [w for w in region.tolist() if w in self.known[i]]
@@ -158,9 +196,10 @@ def _search(items: Items, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             begin = np.array(starts)
             per_doc: dict[int, set] = {}
             for i, at in items.candidates(joined):
-                k = int(np.searchsorted(begin, max(at, 0), "right")) - 1
-                for d in {k, min(k + 1, len(held) - 1)}:  # a presumed start may lie in the wall before its document
-                    if at - begin[d] < len(held[d][1]) and at - begin[d] > -len(items.words[i]):
+                # A presumed start may lie before its document, by the words that may be missing there.
+                last = int(np.searchsorted(begin, at + limit_of(len(items.words[i])), "right"))
+                for d in range(max(0, int(np.searchsorted(begin, at, "right")) - 1), last):
+                    if at - begin[d] < len(held[d][1]):
                         per_doc.setdefault(d, set()).add((i, int(at - begin[d])))
             for d, found in sorted(per_doc.items()):
                 doc, w = held[d]

@@ -276,6 +276,44 @@ def test_leak_recall_under_edits():
     assert hits >= 57
 
 
+def _least_distance(item, text):
+    row, best = list(range(len(item) + 1)), (len(item), 0)
+    for end, word in enumerate(text, 1):
+        new = [0]
+        for i, p in enumerate(item, 1):
+            new.append(min(row[i - 1] + (p != word), row[i] + 1, new[-1] + 1))
+        row = new
+        best = min(best, (row[-1], end))
+    return best
+
+
+def test_leaks_at_the_limit_equal_brute_force():
+    rng = random.Random(11)
+    missed = []
+    for n in range(5, 61):
+        words = [[f"w{rng.randrange(400)}" for _ in range(n)] for _ in range(12)]
+        items = decontaminate.Items([(k, " ".join(w).encode()) for k, w in enumerate(words)])
+        for k, item in enumerate(words):
+            text = item.copy()
+            for e in range(n // 5):   # the first word, then any; replaced, left out or put before
+                at = 0 if e == 0 and k % 3 == 0 else rng.randrange(len(text))
+                text[at : at + rng.randrange(2)] = ["typo"] * rng.randrange(2) if k % 2 else ["typo"]
+            text = ["x"] * 3 + text + ["y"] * 3
+            joined = word_hashes(" ".join(text).encode())
+            got = items.verify(joined, items.candidates(joined)).get(k)
+            least = _least_distance(item, text)
+            if got != (least if least[0] <= n // 5 else None):
+                missed.append((n, k, got, least))
+    assert missed == []
+
+
+def test_leaks_in_front_of_short_documents(documents, spark):
+    item = [f"w{k}" for k in range(200)]
+    rows = [(k, "a b") for k in range(5)] + [(5, " ".join(item[30:]))]   # the first 30 words are missing
+    got = decontaminate.find_leaks(documents(rows).coalesce(1).orderBy("doc_id"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert [tuple(r) for r in got.collect()] == [(5, 1, 30, 200, 170)]
+
+
 def test_language_held_out_accuracy(spark, base):
     docs = spark.read.parquet(f"{os.path.dirname(base)}/sf0.01/documents.parquet")
     got = language_id.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred <> 'und'")
