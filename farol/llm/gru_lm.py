@@ -28,11 +28,14 @@ from pyspark.sql import functions as F
 from farol.llm.common import by_bytes, remainder, staged
 
 HIDDEN = 16            # state of the recurrent unit
-CLASSES, WORDS = 32, 1022  # word classes, and frequent words the model knows, beside "other" and the end
+WORDS = 1022           # frequent words the model knows at least, beside "other" and the end; they grow with the corpus
+GROWTH = 0.4           # twice this power of the training words, so that copies do not outgrow the texts they learn from
 HEAD = 100_000         # most frequent words whose counts travel with the job (a few MB); the rest are joined
-SHARE = 8              # a copy trains on one of so many training documents, another part in each round
-ROUNDS = 2
-LANES, STEPS = 128, 16 # texts trained side by side, and steps of a truncated window
+ROUNDS = 2             # the training documents fall into so many parts; the copies of a round train on one of them
+LANES, STEPS = 128, 16 # texts trained side by side at least, and steps of a truncated window
+WINDOWS = 256          # updates of a stream, at least, before it gets more lanes
+MOST_LANES = 512
+BLOCK = 4096           # weights that travel in a row
 RATE = 0.02
 WINDOW = 64            # steps of a scoring window
 BATCH_CHARS = 16 << 20  # text scored side by side
@@ -101,17 +104,19 @@ def lexicon(counts: DataFrame) -> Lexicon:
             least = row["n"]
     top = counts.where(F.col("n") >= max(least, 2)).orderBy(F.desc("n"), "word").toPandas() if least else counts.limit(0).toPandas()
     head = dict(zip(top["word"], top["n"].astype(int), strict=True))
-    known = [w for w in head if w][:WORDS]
+    known = [w for w in head if w][: max(WORDS, int(2 * total**GROWTH))]
     mass = np.array([0.5, head.get("", 0) + 0.5, *(head[w] for w in known)])
     mass[OTHER] += max(0, total - head.get("", 0) - sum(head[w] for w in known))
     return Lexicon(total, distinct, head, {"": END} | {w: i + 2 for i, w in enumerate(known)}, *_classes(mass), mass / mass.sum())
 
 
 def _classes(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class, place in the class and class sizes: consecutive words of about equal mass, none larger than twice the mean."""
+    """Class, place in the class and class sizes: about the square root of the words in number, of consecutive words of
+    about equal mass, none larger than twice the mean."""
     order = np.argsort(-mass, kind="stable")
     class_of, place, sizes = np.zeros(len(mass), np.int64), np.zeros(len(mass), np.int64), []
-    most, goal, held, weight = -(-2 * len(mass) // CLASSES), mass.sum() / CLASSES, 0, 0.0
+    classes = max(32, round(len(mass) ** 0.5))
+    most, goal, held, weight = -(-2 * len(mass) // classes), mass.sum() / classes, 0, 0.0
     for w in order:
         if held and (weight >= goal or held >= most):
             sizes.append(held)
@@ -170,7 +175,7 @@ class GruLm:
 
     def by_class(self, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
         """(rows, words, place) of each class among the targets."""
-        kind = self.class_of[target].astype(np.uint8 if len(self.sizes) < 256 else np.int64)
+        kind = self.class_of[target].astype(np.uint8 if len(self.sizes) < 256 else np.uint16)
         order = np.argsort(kind, kind="stable")
         ends = np.searchsorted(kind[order], np.arange(len(self.sizes) + 1))
         for k in np.flatnonzero(np.diff(ends)):
@@ -191,7 +196,8 @@ class GruLm:
         """Truncated backpropagation over documents end to end, cut into lanes; the state passes from window to window. Words seen."""
         if not stream:
             return 0
-        lanes = [x for x in np.array_split(np.concatenate(stream), LANES) if len(x)]
+        words = np.concatenate(stream)
+        lanes = [x for x in np.array_split(words, min(MOST_LANES, max(LANES, len(words) // (STEPS * WINDOWS)))) if len(x)]
         size = max(map(len, lanes))
         grid, live = np.zeros((size, len(lanes)), np.int64), np.zeros((size, len(lanes)), bool)
         for i, lane in enumerate(lanes):
@@ -200,12 +206,17 @@ class GruLm:
         var = {k: np.zeros_like(a) for k, a in self.p.items()}
         h, last = np.zeros((len(lanes), HIDDEN), "f4"), np.full(len(lanes), END)
         for t, at in enumerate(range(0, size, STEPS), 1):
+            met = np.unique(np.append(last, grid[at : at + STEPS]))  # no other word's input has a gradient
             grads, h, last = self.window(grid[at : at + STEPS], live[at : at + STEPS], h, last)
             for k, g in grads.items():
-                np.clip(g, -1, 1, out=g)
-                mean[k] += 0.1 * (g - mean[k])
-                var[k] += 0.01 * (g * g - var[k])
-                self.p[k] -= RATE / np.sqrt(t) ** 0.5 * (mean[k] / (1 - 0.9**t)) / (np.sqrt(var[k] / (1 - 0.99**t)) + 1e-6)
+                of = met if k == "x" else slice(None)
+                g = np.clip(g[of], -1, 1)
+                m, v = mean[k][of], var[k][of]
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                self.p[k][of] -= RATE / np.sqrt(t) ** 0.5 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
+                if k == "x":
+                    mean[k][of], var[k][of] = m, v
         return int(live.sum())
 
     def window(self, words: np.ndarray, live: np.ndarray, h: np.ndarray, last: np.ndarray):
@@ -234,17 +245,21 @@ class GruLm:
                 g["w"][block] += e.T @ hs[rows]
                 g["wb"][block] += e.sum(0)
                 dh[rows] += e @ p["w"][block]
-        dh, carry = dh.reshape(len(words), -1, n), 0
+        dh, carry, inputs = dh.reshape(len(words), -1, n), 0, []
         for t in range(len(words) - 1, -1, -1):
             word, before, z, r, c, gu = kept[t]
             d = dh[t] + carry
             dn = d * z * (1 - c * c)
             da = np.concatenate([d * (c - before) * z * (1 - z), dn * gu * r * (1 - r), dn], 1)
             du = np.concatenate([da[:, : 2 * n], dn * r], 1)
-            np.add.at(g["x"], word, da)
+            inputs.append((word, da))
             g["b"] += da.sum(0)
             g["u"] += before.T @ du
             carry = (d * (1 - z) + du @ p["u"].T) * (word != END)[:, None]
+        word, da = np.concatenate([w for w, _ in inputs]), np.concatenate([d for _, d in inputs])
+        order = np.argsort(word, kind="stable")
+        met, first = np.unique(word[order], return_index=True)
+        g["x"][met] = np.add.reduceat(da[order], first)
         return g, h, last
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
@@ -285,23 +300,37 @@ def _train_copy(lex: Lexicon, values: np.ndarray, batches: Iterator[pa.RecordBat
         for _, texts in by_bytes(batch.column("text").to_pylist(), BATCH_CHARS):
             seen += model.train([_ids(lex, tokens(t)) for t in texts])
     if seen:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(values.size)), pa.array(model.flat().astype("f8") * seen), pa.array(np.full(values.size, float(seen)))],
-            names=["slot", "v", "n"])
+        yield _blocks(model.flat(), seen)
+
+
+def _blocks(values: np.ndarray, seen: float) -> pa.RecordBatch:
+    cut = [values[at : at + BLOCK].astype("f4").tobytes() for at in range(0, values.size, BLOCK)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(len(cut)), pa.int64()), pa.array(cut, pa.binary()), pa.array([float(seen)] * len(cut))], names=["block", "v", "n"])
+
+
+def _mean(copies: pa.Table) -> pa.Table:
+    """One block of weights, averaged over the copies by the words each has seen."""
+    n, total = copies.column("n").to_numpy(), 0.0
+    for seen, raw in zip(n, copies.column("v"), strict=True):
+        total = total + seen * np.frombuffer(raw.as_py(), "f4").astype("f8")
+    return pa.table({"block": copies.column("block")[:1], "v": pa.array([(total / n.sum()).astype("f4").tobytes()], pa.binary())})
+
+
+def training_part(docs: DataFrame, k: int) -> DataFrame:
+    """Texts that the copies of round ``k`` train on; each row falls to one round."""
+    return docs.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fit")), F.lit(ROUNDS)) == k).select("text")
 
 
 def fit(docs: DataFrame, lex: Lexicon) -> GruLm:
-    """ROUNDS of copies trained apart and averaged by words seen; the driver receives one weight per slot."""
+    """Copies trained apart and averaged by words seen, in ROUNDS that have all documents between them; the driver receives one model."""
     spark, model = docs.sparkSession, GruLm(lex)
     for k in range(ROUNDS):
         held = spark.sparkContext.broadcast((lex, model.flat()))
-        share = docs.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fit")), F.lit(SHARE)) == k).select("text")
-        copies = share.mapInArrow(lambda b, held=held: _train_copy(*held.value, b), "slot long, v double, n double")
-        rows = copies.groupBy("slot").agg((F.sum("v") / F.sum("n")).alias("v")).toPandas()
-        if len(rows):
-            values = np.zeros(model.flat().size)
-            values[rows["slot"]] = rows["v"]
-            model.load(values)
+        copies = training_part(docs, k).mapInArrow(lambda b, held=held: _train_copy(*held.value, b), "block long, v binary, n double")
+        rows = copies.groupBy("block").applyInArrow(_mean, "block long, v binary").collect()
+        if rows:
+            model.load(np.concatenate([np.frombuffer(r["v"], "f4") for r in sorted(rows, key=lambda r: r["block"])]))
     return model
 
 

@@ -337,6 +337,34 @@ def test_language_model_base_and_gain(spark, base, monkeypatch):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_language_model_trains_on_every_training_document(documents, spark, monkeypatch):
+    rows = [(i, f"word{i} again") for i in range(200)] + [(None, "no id"), (3, "same id")]
+    docs, lex = documents(rows), gru_lm.lexicon(spark.createDataFrame([("", 5), ("a", 9)], "word string, n long"))
+    parts = spark.sparkContext.accumulator(0)
+    train = gru_lm._train_copy
+
+    def counted(lex, values, batches):
+        def watched():
+            for b in batches:
+                parts.add(b.num_rows)
+                yield b
+        return train(lex, values, watched())
+
+    monkeypatch.setattr(gru_lm, "_train_copy", counted)
+    gru_lm.fit(docs, lex)
+    assert parts.value == len(rows)
+
+
+def test_language_model_vocabulary_grows(spark):
+    def known(n, times):
+        counts = spark.range(n).selectExpr("concat('w', id) as word", f"{times}L as n")
+        lex = gru_lm.lexicon(counts)
+        return len(lex.index), len(lex.sizes)
+
+    few, many = known(5000, 2), known(5000, 10_000)
+    assert few[0] == 1024 - 1 and many[0] > 2 * few[0] and many[1] > few[1]
+
+
 def test_language_model_is_normalised(spark):
     counts = spark.createDataFrame([("", 5), ("a", 9), ("b", 4), ("c", 1)], "word string, n long")
     lex = gru_lm.lexicon(counts)
