@@ -34,8 +34,13 @@ def cut(data: bytes) -> np.ndarray:
     return np.frombuffer(data.ljust(n * WINDOW, b"\0"), np.uint8).reshape(n, WINDOW)
 
 
+def _padded(windows: np.ndarray) -> np.ndarray:
+    """Windows with zero bytes after them, so that a filter starts at their last byte too."""
+    return np.pad(windows, ((0, 0), (0, max(WIDTHS))))
+
+
 class ByteCnn:
-    """Embedding, filters at every second byte, maximum over the window, softmax."""
+    """Embedding, filters at every byte, maximum over the window, softmax."""
 
     def __init__(self, langs: list[str], seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -49,15 +54,19 @@ class ByteCnn:
         self.out = rng.normal(0, 0.1, (n, len(langs))).astype("f4")
         self.out_bias = np.zeros(len(langs), "f4")
 
-    def _answers(self, windows: np.ndarray) -> np.ndarray:
-        """(window, position, filter) before the maximum; a position covers four bytes, as two pairs."""
+    def _answers(self, windows: np.ndarray, shift: int) -> np.ndarray:
+        """(window, position, filter) at every second byte from ``shift``, 0 or 1; a position covers four bytes, as two pairs."""
         n = self.filters.shape[1]
-        pairs = self.embed[windows].reshape(len(windows) * WINDOW // 2, 2 * EMBED)
+        pairs = self.embed[_padded(windows)[:, shift : shift + WINDOW + 2]].reshape(-1, 2 * EMBED)
         half = self.filters.reshape(2, 2 * EMBED, n)
-        first = (pairs @ half[0]).reshape(len(windows), WINDOW // 2, n)[:, :-1]
-        first += (pairs @ half[1]).reshape(len(windows), WINDOW // 2, n)[:, 1:]
+        first = (pairs @ half[0]).reshape(len(windows), WINDOW // 2 + 1, n)[:, :-1]
+        first += (pairs @ half[1]).reshape(len(windows), WINDOW // 2 + 1, n)[:, 1:]
         return first
 
+    def _pooled(self, windows: np.ndarray) -> np.ndarray:
+        """Largest answer of each filter over all bytes."""
+        return np.maximum(self._answers(windows, 0).max(1), self._answers(windows, 1).max(1))
+
     def _softmax(self, pooled: np.ndarray) -> np.ndarray:
         z = pooled @ self.out + self.out_bias
         z = np.exp(z - z.max(1, keepdims=True))
@@ -65,7 +74,7 @@ class ByteCnn:
 
     def predict(self, windows: np.ndarray) -> np.ndarray:
         parts = [
-            self._softmax(np.maximum(self._answers(windows[i : i + SCORE_WINDOWS]).max(1) + self.bias, 0))
+            self._softmax(np.maximum(self._pooled(windows[i : i + SCORE_WINDOWS]) + self.bias, 0))
             for i in range(0, len(windows), SCORE_WINDOWS)
         ]
         return np.concatenate(parts)
@@ -87,7 +96,7 @@ class ByteCnn:
         return self
 
     def _gradient(self, windows: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
-        answers = self._answers(windows)
+        answers = np.stack([self._answers(windows, 0), self._answers(windows, 1)], 2).reshape(len(windows), WINDOW, -1)
         best = answers.argmax(1)
         pooled = np.take_along_axis(answers, best[:, None], 1)[:, 0] + self.bias
         pooled_on = np.maximum(pooled, 0)
@@ -95,7 +104,7 @@ class ByteCnn:
         dz[np.arange(len(labels)), labels] -= 1
         dz /= len(labels)
         dp = (dz @ self.out.T) * (pooled > 0)
-        seen = windows[np.arange(len(windows))[:, None, None], 2 * best[:, :, None] + np.arange(max(WIDTHS))]
+        seen = _padded(windows)[np.arange(len(windows))[:, None, None], best[:, :, None] + np.arange(max(WIDTHS))]
         inputs = self.embed[seen].reshape(*best.shape, -1)
         d_filters = np.einsum("bf,bfk->kf", dp, inputs) * self.mask
         d_inputs = (dp[:, :, None] * self.filters.T[None]).reshape(*seen.shape, EMBED)

@@ -320,6 +320,26 @@ def test_language_held_out_accuracy(spark, base):
     assert got.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.95
 
 
+def test_language_filters_start_at_every_byte():
+    model = language_id.ByteCnn(["a", "b"])
+    windows = language_id.cut(bytes(np.random.default_rng(2).integers(32, 256, 700, np.uint8)))
+    padded = np.pad(windows, ((0, 0), (0, 4)))
+    each = [model.embed[padded[:, i : i + 4]].reshape(len(windows), -1) @ model.filters for i in range(language_id.WINDOW)]
+    want = np.maximum(np.max(each, 0) + model.bias, 0)
+    assert model.predict(windows) == pytest.approx(model._softmax(want), rel=1e-4)
+    labels, step = np.array([0, 1, 0]), 1e-3
+    grads = model._gradient(windows, labels)
+    at = np.unravel_index(np.abs(grads[1]).argmax(), grads[1].shape)
+
+    def loss(shift):
+        model.filters[at] += shift
+        out = -np.log(model.predict(windows)[np.arange(3), labels].astype("f8")).mean()
+        model.filters[at] -= shift
+        return out
+
+    assert grads[1][at] == pytest.approx((loss(step) - loss(-step)) / (2 * step), rel=0.05)
+
+
 def test_language_model_base_and_gain(spark, base, monkeypatch):
     monkeypatch.setattr(gru_lm, "HEAD", 500)   # most words take the way through the join
     docs = spark.read.parquet(f"{os.path.dirname(base)}/sf0.01/documents.parquet")
