@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farol.llm import (
-    decontaminate, exact_dedup, gru_lm, jaccard_join, language_id, license_scan, packing, suffix_dedup, token_counts, token_store,
+    byte_bpe, decontaminate, exact_dedup, gru_lm, jaccard_join, language_id, license_scan, packing, suffix_dedup, token_counts, token_store,
 )
 from farol.llm.common import read
 
@@ -55,7 +55,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.digests(vocabulary.decode(vocabulary.encode(read(spark, sf_dir, "documents"))))
+
+
 QUERIES = [
     op1_decontaminate, op2_suffix_dedup, op3_gru_lm, op4_token_counts, op5_license_scan, op6_jaccard_join, op7_language_id, op8_best_fit_packing, op9_token_store,
-    op10_exact_dedup,
+    op10_exact_dedup, op11_byte_bpe,
 ]
