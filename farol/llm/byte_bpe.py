@@ -106,15 +106,6 @@ class ByteBPE:
         self.known: dict[str, bytes] = {}
         self.kept = 0
 
-    def _runs(self, text: str) -> Iterator[list[str]]:
-        """Pre-tokens in order; those of a very long text in runs."""
-        if len(text) < LONG_TEXT:
-            yield self.cut.findall(text)
-            return
-        found = (m.group() for m in self.cut.finditer(text))
-        while run := list(islice(found, RUN)):
-            yield run
-
     def _learn(self, runs: list[list[str]]) -> None:
         new = list(set(chain.from_iterable(runs)).difference(self.known))
         if self.kept > KEPT_CHARS:
@@ -126,18 +117,14 @@ class ByteBPE:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out = []
-        short = [self.cut.findall(t) if len(t) < LONG_TEXT else None for t in texts]
-        self._learn([run for run in short if run])
-        for text, run in zip(texts, short, strict=True):
-            if run is None:
-                out.append(b"".join(self._long(text)))
-            else:
-                out.append(b"".join(map(self.known.__getitem__, run)))
-        return out
+        runs = [self.cut.findall(t) if len(t) < LONG_TEXT else None for t in texts]
+        long = {at: b"".join(self._long(t)) for at, t in enumerate(texts) if runs[at] is None}
+        self._learn([run for run in runs if run])
+        return [long[at] if run is None else b"".join(map(self.known.__getitem__, run)) for at, run in enumerate(runs)]
 
     def _long(self, text: str) -> Iterator[bytes]:
-        for run in self._runs(text):
+        found = (m.group() for m in self.cut.finditer(text))
+        while run := list(islice(found, RUN)):
             self._learn([run])
             yield b"".join(map(self.known.__getitem__, run))
 
