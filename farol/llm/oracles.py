@@ -35,6 +35,36 @@ from d
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents),
+ws as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+  from ws, (values (1), (2), (3)) as sizes(k) where len(w) >= k),
+f as (select lang, k, phrase, count(*) as f from grams group by all),
+total as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 10),
+longer as (
+  select lang, array_to_string(w[i:i + 1], ' ') as phrase, max(a) as most from c, (values (1), (2)) as start(i) where k = 3 group by all),
+cuts as (
+  select c.lang, c.phrase, c.a, j, x.f as l, y.f as r,
+    ((1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f))::bigint as score
+  from c cross join (values (1), (2)) as cut(j)
+  join f x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:j], ' ')
+  join f y on y.lang = c.lang and y.phrase = array_to_string(c.w[j + 1:], ' ')
+  left join longer g on g.lang = c.lang and g.phrase = c.phrase
+  where j < c.k and not (100 * coalesce(g.most, 0) >= 50 * c.a)),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best)
+select r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+from ranked r join total t on t.lang = r.lang where r.rank <= 2000
+"""
+
+
 def _op5() -> str:
     notices = ", ".join(f"({i}, '{k}', '{v}')" for i, (k, v) in enumerate(L.TEMPLATES))
     word, mention = L.WORD, L.MENTION.removeprefix("(?i)")
@@ -85,4 +115,4 @@ from own left join near using (leaf)
 
 
 def all_sql() -> dict[str, str]:
-    return {"op5_license_scan": _op5(), "op6_jaccard_join": OP6, "op10_exact_dedup": OP10}
+    return {"op5_license_scan": _op5(), "op6_jaccard_join": OP6, "op10_exact_dedup": OP10, "op12_collocations": OP12}
