@@ -45,19 +45,19 @@ ws as (
 grams as (
   select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
   from ws, (values (1), (2), (3)) as sizes(k) where len(w) >= k),
-f as (select lang, k, phrase, count(*) as f from grams group by all),
+f as (select lang, k, phrase, lang || chr(9) || phrase as id, count(*) as f from grams group by all),
 total as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
-c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 10),
+c as (select lang, k, phrase, id, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 10),
 longer as (
-  select lang, array_to_string(w[i:i + 1], ' ') as phrase, max(a) as most from c, (values (1), (2)) as start(i) where k = 3 group by all),
+  select lang || chr(9) || array_to_string(w[i:i + 1], ' ') as id, max(a) as most from c, (values (1), (2)) as start(i) where k = 3 group by all),
+kept as (select c.* from c left join longer g on g.id = c.id where not (100 * coalesce(g.most, 0) >= 50 * c.a)),
+halves as (
+  select lang, phrase, a, j, lang || chr(9) || array_to_string(w[1:j], ' ') as x, lang || chr(9) || array_to_string(w[j + 1:], ' ') as y
+  from kept, (values (1), (2)) as cut(j) where j < k),
+known as materialized (select id, f from f),
+firsts as materialized (select h.*, known.f as l from halves h join known on known.id = h.x),
 cuts as (
-  select c.lang, c.phrase, c.a, j, x.f as l, y.f as r,
-    ((1000000::hugeint * c.a * c.a) // (x.f::hugeint * y.f))::bigint as score
-  from c cross join (values (1), (2)) as cut(j)
-  join f x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:j], ' ')
-  join f y on y.lang = c.lang and y.phrase = array_to_string(c.w[j + 1:], ' ')
-  left join longer g on g.lang = c.lang and g.phrase = c.phrase
-  where j < c.k and not (100 * coalesce(g.most, 0) >= 50 * c.a)),
+  select h.*, known.f as r, ((1000000::hugeint * a * a) // (l::hugeint * known.f))::bigint as score from firsts h join known on known.id = h.y),
 best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
 ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best)
 select r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
@@ -65,6 +65,32 @@ from ranked r join total t on t.lang = r.lang where r.rank <= 2000
 """
 
 
+# Unsigned crc32 of a decimal number, one byte and one bit at a time.
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({0}::varchar, ''), lambda x: ascii(x)::bigint)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"""
+
+OP13 = rf"""
+with own as (
+  select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first) as turns
+  from conversations where conv_id is not null group by conv_id),
+h as (select conv_id, conv_id - conv_id % 20 as lead, ({_CRC.format('conv_id')} % 4)::int as h, turns from own),
+seqs as (
+  select h.conv_id, list_concat(coalesce(own.turns, [])[1:h.h], h.turns[h.h + 1:]) as s from h left join own on own.conv_id = h.lead),
+prefixes as (select conv_id, s, unnest(range(0, len(s) + 1)) as depth from seqs),
+nodes as (
+  select s[1:depth] as path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(s) = depth), '')) as ends_sha256,
+    coalesce(len(list_filter(regexp_split_to_array(any_value(s[depth].text), '[\x20\x09-\x0D]+'), lambda x: x <> '')), 0) as words
+  from prefixes group by s[1:depth], depth),
+kids as (select path[1:depth - 1] as path, count(*) as n from nodes where depth > 0 group by 1),
+told as (select nodes.*, coalesce(kids.n, 0) as n_children from nodes left join kids on kids.path = nodes.path),
+above as (select path, unnest(range(0, depth + 1)) as up, (n_convs - 1) * words as saved, (n_children = 0)::int as leaf from told),
+sums as (select path[1:up] as path, sum(leaf) as n_leaves, sum(saved) as saved from above group by 1)
+select t.conv_id, t.depth, p.conv_id as parent_conv_id, t.n_convs, t.n_children, s.n_leaves::bigint as n_leaves, s.saved::bigint as saved_tokens, t.ends_sha256
+from told t join sums s on s.path = t.path left join told p on t.depth > 0 and p.path = t.path[1:t.depth - 1]
+"""
+
+
 def _op5() -> str:
     notices = ", ".join(f"({i}, '{k}', '{v}')" for i, (k, v) in enumerate(L.TEMPLATES))
     word, mention = L.WORD, L.MENTION.removeprefix("(?i)")
@@ -115,4 +141,4 @@ from own left join near using (leaf)
 
 
 def all_sql() -> dict[str, str]:
-    return {"op5_license_scan": _op5(), "op6_jaccard_join": OP6, "op10_exact_dedup": OP10, "op12_collocations": OP12}
+    return {"op5_license_scan": _op5(), "op6_jaccard_join": OP6, "op10_exact_dedup": OP10, "op12_collocations": OP12, "op13_conversation_trie": OP13}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farol.llm import (
-    byte_bpe, collocations, decontaminate, exact_dedup, gru_lm, jaccard_join, language_id, license_scan, packing, suffix_dedup, token_counts, token_store,
+    byte_bpe, collocations, conversation_trie, decontaminate, exact_dedup, gru_lm, jaccard_join, language_id, license_scan, packing, suffix_dedup, token_counts, token_store,
 )
 from farol.llm.common import read
 
@@ -64,7 +64,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = [
     op1_decontaminate, op2_suffix_dedup, op3_gru_lm, op4_token_counts, op5_license_scan, op6_jaccard_join, op7_language_id, op8_best_fit_packing, op9_token_store,
-    op10_exact_dedup, op11_byte_bpe, op12_collocations,
+    op10_exact_dedup, op11_byte_bpe, op12_collocations, op13_conversation_trie,
 ]

@@ -31,7 +31,8 @@ def test_conftest_of_this_folder_is_used(odd, none):
 @pytest.mark.parametrize("name", sorted(oracles.all_sql()))
 def test_equals_duckdb(spark, base, name):
     con = connect(base)
-    con.execute(f"create view documents as from '{base}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.execute(f"create view {table} as from '{base}/{table}.parquet'")
     query = next(f for f in queries.QUERIES if f.__name__ == name)
     assert difference(query(spark, base), con, oracles.all_sql()[name]) is None
 
