@@ -247,16 +247,17 @@ def _results(lang: str, kind: int, stripes: Stripes, least: int) -> pa.RecordBat
         loose = cut[owner]
         is_end = pc.equal(following, "").to_numpy(zero_copy_only=False)
         best = np.zeros(len(sizes), np.int64)
-        np.maximum.at(best, owner[~is_end], n[~is_end])
+        enough = ~is_end & (n >= least)
+        np.maximum.at(best, owner[enough], n[enough])
         phrase = np.flatnonzero(~cut & (total >= least))
-        longer = np.flatnonzero(~loose & ~is_end & (n >= least))
+        longer = np.flatnonzero(~loose & enough)
         parts = np.flatnonzero(loose)
         table = {
             "kind": ["pair"] * len(phrase) + ["longer"] * len(longer) + ["part"] * len(parts),
             "prefix": prefixes.take(pa.array(np.concatenate([phrase, owner[longer], owner[parts]]))),
             "word": pa.concat_arrays([pa.nulls(len(phrase), pa.string()), following.take(pa.array(np.concatenate([longer, parts])))]),
             "n": np.concatenate([total[phrase], n[longer], n[parts]]),
-            # Of a pair its largest extension, of an extension the count of its prefix.
+            # Of a pair its largest extension that is a candidate, of an extension the count of its prefix.
             "total": np.concatenate([best[phrase], total[owner[longer]], np.zeros(len(parts), np.int64)])}
     rows = len(table["kind"])
     fields = [("kind", pa.string()), ("lang", pa.string()), ("prefix", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("total", pa.int64())]
@@ -290,7 +291,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     ``all``: n words of a language; ``word``: n occurrences of a word;
     ``pair``: n occurrences of the two words ``prefix`` and, as ``total``, of
-    its most frequent extension; ``longer``: n occurrences of ``prefix`` and
+    its most frequent extension that reaches ``least``; ``longer``: n occurrences of ``prefix`` and
     ``word``, ``prefix`` itself occurring ``total`` times. All but ``all``
     reach ``least``.
     """
@@ -304,7 +305,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
     loose = staged(rows.where("kind = 'part'").groupBy("lang", "prefix", "word").agg(F.sum("n").alias("n")), "cut_stripes")
     inside = F.col("word") != ""
     pairs = loose.groupBy("lang", "prefix").agg(
-        F.sum("n").alias("n"), F.coalesce(F.max(F.when(inside, F.col("n"))), F.lit(0)).alias("total")).where(F.col("n") >= least)
+        F.sum("n").alias("n"), F.coalesce(F.max(F.when(inside & (F.col("n") >= least), F.col("n"))), F.lit(0)).alias("total")).where(F.col("n") >= least)
     longer = loose.where(inside & (F.col("n") >= least)).join(pairs.select("lang", "prefix", F.col("n").alias("total")), ["lang", "prefix"])
     return (
         rows.where("kind in ('word', 'pair', 'longer')")

@@ -65,6 +65,12 @@ def test_many_words_of_one_block(documents):
     assert run(documents(rows)) == brute([(r[2], r[1]) for r in rows])
 
 
+def test_only_candidates_take_over(documents):
+    rows = [(1, "a b c. " * 9 + "a b d. a b. x y z. " + "x y z. " * 9, "en")]
+    got = run(documents(rows))
+    assert got == brute([(r[2], r[1]) for r in rows]) and {"a b", "x y z"} == {r[2] for r in got}
+
+
 def test_block_with_more_words_than_one_number_holds(monkeypatch):
     raw = "\n".join(texts(8, 50, WORDS)).encode()
     want = sorted(map(str, collocations.block_stripes(raw, "en", 7)))
