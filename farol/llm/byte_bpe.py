@@ -27,7 +27,8 @@ from farol.llm.common import by_bytes
 
 LONG_TEXT = 1 << 22     # characters from which the pre-tokens of a text are met in runs instead of as one list
 RUN = 1 << 18           # pre-tokens of such a run
-KEPT_CHARS = 1 << 25    # characters of pre-tokens whose ids a worker keeps; beyond it they are dropped and made again
+KEPT = 1 << 26          # characters of pre-tokens, and ENTRY for each, whose ids a worker keeps; beyond it they are made again
+ENTRY = 100             # bytes of an entry beside its characters (some 600,000 common pre-tokens are kept)
 # Fixed value: byte-level models show printable Latin-1 as itself and the other bytes, in order, from U+0100 on.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _HIDDEN = [b for b in range(256) if b not in _PRINTED]
@@ -108,12 +109,12 @@ class ByteBPE:
 
     def _learn(self, runs: list[list[str]]) -> None:
         new = list(set(chain.from_iterable(runs)).difference(self.known))
-        if self.kept > KEPT_CHARS:
+        if self.kept > KEPT:
             self.known, self.kept, new = {}, 0, list(set(chain.from_iterable(runs)))
         pieces = [shown(t.encode()) for t in new]
         for token, piece, ids in zip(new, pieces, self.model.encode(pieces), strict=True):
             self.known[token] = np.array([self.whole[piece]] if piece in self.whole else ids, "<u4").tobytes()
-            self.kept += len(token)
+            self.kept += len(token) + ENTRY
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""

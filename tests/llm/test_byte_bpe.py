@@ -42,7 +42,7 @@ def test_odd_rows(odd, none, library):
 def test_random_and_long_texts(library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "LONG_TEXT", 300)
     monkeypatch.setattr(byte_bpe, "RUN", 7)
-    monkeypatch.setattr(byte_bpe, "KEPT_CHARS", 500)
+    monkeypatch.setattr(byte_bpe, "KEPT", 5000)
     bpe = byte_bpe.ByteBPE(*byte_bpe.Vocabulary(PATH).spec)
     rng = random.Random(5)
     signs = [*"aeiou  \n\t'stTHE019.,!", " ", "　", "é", "漢", "😀", "́", "\x1c", "\x85", "<|endoftext|>", "'re"]
