@@ -31,7 +31,7 @@ from pyspark.sql import window as W
 
 from farol.llm.common import staged
 from farol.llm.shingles import mix
-from farol.operators.joins import lookup_join
+from farol.operators.joins import HOT_SHARE, lookup_join, salted_left_join
 
 LEAST = 10               # occurrences of a candidate
 COVER = 50               # per cent of its occurrences that a longer candidate must have to replace it
@@ -42,6 +42,7 @@ LONG = 64                # entries beyond which a block's stripe is cut
 PARTS = 1024             # buckets the entries of a cut stripe are dealt to, at most
 HELD = 4_000_000         # entries of a bucket that are merged before more are taken in
 WIDE = 1 << 20           # words of a block whose threes still make one number of 63 bits
+PIECES = 64              # pieces of the phrases that share a frequent word
 SALTS = 256              # parts of a language that are ranked before the whole
 _WHOLE, _PART, _WORDS = 0, 1, 2
 # What separates words, and what ends a piece.
@@ -322,8 +323,9 @@ def _score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", a * a * million, left * right)
 
 
-def _found(facts: DataFrame, counts: DataFrame, keys: list[str], counted: int) -> DataFrame:
-    return lookup_join(facts, counts, counted, keys, ["phrase"])
+def _found(facts: DataFrame, counts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Counts joined to phrases by word or pair; frequent ones, which many phrases hold, are cut into pieces."""
+    return salted_left_join(facts, counts, ["lang", key], hot.withColumnRenamed("name", key), ["phrase"])
 
 
 def candidates(counts: DataFrame, cover: int = COVER) -> DataFrame:
@@ -334,8 +336,12 @@ def candidates(counts: DataFrame, cover: int = COVER) -> DataFrame:
     longer = counts.where("kind = 'longer'").select(
         "lang", F.concat_ws(" ", "prefix", "word").alias("phrase"), F.split_part("prefix", F.lit(" "), F.lit(1)).alias("first"),
         F.col("word").alias("last"), F.concat_ws(" ", second, F.col("word")).alias("pair"), F.col("n").alias("a"), F.col("total").alias("l2"))
-    n_words, n_pairs = words.count(), pairs.count()
-    longer = _found(longer, pairs.select("lang", "pair", F.col("n").alias("r1")), ["lang", "pair"], n_pairs)
+    total = counts.where("kind = 'all'").agg(F.sum("n")).first()[0] or 0
+    # At most 1 / HOT_SHARE words and as many pairs, whatever the corpus.
+    frequent = counts.where(F.col("kind").isin("word", "pair") & (F.col("n") > HOT_SHARE * total)).select(
+        "kind", "lang", F.coalesce("word", "prefix").alias("name"), F.lit(PIECES).cast("bigint").alias("_pieces"))
+    hot_words, hot_pairs = (frequent.where(F.col("kind") == k).drop("kind") for k in ("word", "pair"))
+    longer = _found(longer, pairs.select("lang", "pair", F.col("n").alias("r1")), "pair", hot_pairs)
     before = longer.groupBy("lang", "pair").agg(F.max("a").alias("before"))
     two = (
         pairs.join(before, ["lang", "pair"], "left")
@@ -345,8 +351,8 @@ def candidates(counts: DataFrame, cover: int = COVER) -> DataFrame:
                 F.lit(None).cast("long").alias("l2"), F.lit(None).cast("long").alias("r1"))
     )
     both = staged(two.unionByName(longer.drop("pair")), "phrases")
-    both = _found(both, words.select("lang", F.col("word").alias("first"), F.col("f").alias("l1")), ["lang", "first"], n_words)
-    both = _found(both, words.select("lang", F.col("word").alias("last"), F.col("f").alias("r2")), ["lang", "last"], n_words)
+    both = _found(both, words.select("lang", F.col("word").alias("first"), F.col("f").alias("l1")), "first", hot_words)
+    both = _found(both, words.select("lang", F.col("word").alias("last"), F.col("f").alias("r2")), "last", hot_words)
     a, l1, l2, r1, r2 = (F.col(c) for c in ("a", "l1", "l2", "r1", "r2"))
     one = _score(a, l1, F.coalesce(r1, r2))
     other = _score(a, l2, r2)
