@@ -36,8 +36,8 @@ from farol.operators.joins import HOT_SHARE, lookup_join, salted_left_join
 LEAST = 10               # occurrences of a candidate
 COVER = 50               # per cent of its occurrences that a longer candidate must have to replace it
 TOP = 2000               # phrases reported per language
-BLOCK = 1 << 24          # bytes of text counted at a time
-BUCKET = 1 << 24         # bytes of text whose stripes share a bucket, on average
+BLOCK = 1 << 23          # bytes of text counted at a time
+BUCKET = 1 << 23         # bytes of text whose stripes share a bucket, on average
 LONG = 64                # entries beyond which a block's stripe is cut
 PARTS = 1024             # buckets the entries of a cut stripe are dealt to, at most
 HELD = 4_000_000         # entries of a bucket that are merged before more are taken in
