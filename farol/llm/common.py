@@ -24,7 +24,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the folder of ``spark.checkpoint.dir`` and read back: the lineage ends there."""
     path = new_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remainder(doc_id: Column, n: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farol.llm.common import staged
+from farol.llm.common import release, staged
 
 
 def _to_minimum(edges: DataFrame) -> DataFrame:
@@ -30,8 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _to_minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = _to_minimum(large)
-        now = staged(
+        before, now = now, staged(
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
             .where("u <> v").distinct(), "edges")
+        release(before)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))

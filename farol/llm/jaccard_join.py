@@ -3,24 +3,28 @@
 A document is the set of its five-word shingles. Two sets that overlap enough
 have sizes within a fixed ratio, so both belong to one of two neighbouring
 size bands, and they differ in at most k shingles, k following from the band.
-The shingle domain is cut into more cells than k: at least one cell that is
-not empty holds the same shingles of both, and its content is the signature
-they share. What shares a signature is verified on the sets themselves.
+The shingle domain is cut into more than k / 2 parts, so some part holds at
+most one difference; each part is cut into three cells, and the content of
+every two of them is a signature: two sets that may be linked share one.
 
 Very frequent shingles are left out of the cells of documents that have enough
 others: that never adds a difference, so nothing is lost, and a passage that
 many documents share gathers them in no signature.
 
-Links are found in two rounds. In the first a document is compared with two
-others of its signatures only; that joins large groups of near copies at once.
-In the second all pairs that share a signature and are not yet connected are
-compared, first by the parities of their shingles in 512 buckets: sets differ
-in at least as many shingles as parities do.
+Links are found in rounds. In each a document is compared with the document of
+its signatures that shares most with all others, which is the middle of a
+group of near copies: large groups join at once, by a pair per document. What
+is left, signatures whose documents are not all connected, is compared in
+full: signatures with the same documents once, in blocks of bounded size,
+first by the parities of the shingles in 512 buckets (sets differ in at least
+as many shingles as parities do), and then on the sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
@@ -29,20 +33,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from farol.llm.common import staged
+from farol.llm.common import release, staged
 from farol.llm.graph import components
 from farol.llm.shingles import mix, shingle_set
 
 PERCENT = 80               # linked when 100 * intersection >= PERCENT * union
-SINGLE = 16                # below this size every shingle is a cell
-CELLS = 0.6                # cells per shingle of the band's smallest size, above k = 0.5 of it
-GROUP, DROP = 3, 2         # cells of a first-level part, and how many of them may differ
+SINGLE = 64                # below this size every shingle is a signature
+GROUP, DROP = 3, 1         # cells of a part, and how many of them may differ
+ROUNDS = 3                 # rounds of comparisons with leaders
+DOCS = 4096                # documents of a signature compared with each other in one task
 RARE = 0.8                 # share of a set outside the frequent shingles that suffices for the cells
 FREQUENT_LOCAL = 4         # occurrences in one batch from which a shingle is reported
 FREQUENT_MAX = 1 << 18     # most frequent shingles set aside: 2 MB; any choice gives the same links
 BROADCAST_IDS = 1_000_000  # ids sent to all executors at most (8 MB); more are joined by shuffle
 BUCKETS = 512              # parities, one bit each
-BLOCK = 1 << 14         # pairs compared at a time
+BLOCK = 1 << 14            # pairs compared at a time
+PAIRS = 1 << 20            # pairs held to drop repeated ones
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -55,6 +61,16 @@ def sketch(grams: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(bool)).tobytes()
 
 
+def set_name(grams: np.ndarray) -> bytes:
+    """Digest of a sorted set: equal sets, and no others, share it."""
+    return blake2b(grams.tobytes(), digest_size=16).digest()
+
+
+def handle(name: bytes) -> int:
+    """A number for a set's rows; sets that share one are kept apart by their names."""
+    return int.from_bytes(name[:8], "little", signed=True)
+
+
 def bands(n: int) -> list[int]:
     """Bands a set of n shingles belongs to: its own, and the one below if sets there may be linked to it."""
     own = n.bit_length() - 1
@@ -62,12 +78,18 @@ def bands(n: int) -> list[int]:
 
 
 def cell_signatures(grams: np.ndarray, band: int, domain: int) -> np.ndarray:
-    """Hashes of all non-empty subsets of GROUP - DROP cells of each part of the band's partition."""
+    """Hashes of all non-empty subsets of GROUP - DROP cells of each part of the band's partition.
+
+    k bounds the differences of two linked sets, the smaller one of the band.
+    One part more than pigeonhole asks for, because two agreeing cells may both be empty.
+    """
     low = 1 << band
     salt = mix(np.full(1, (band << 2 | domain) + 1, np.uint64))[0]
     if low < SINGLE:
         return grams ^ salt
-    cells = GROUP * -(-int(CELLS * low + 2) // GROUP)
+    largest = 2 * low - 1
+    k = int(largest * (1 + 100 / PERCENT) * (100 - PERCENT) / (100 + PERCENT))
+    cells = GROUP * (k // (DROP + 1) + 2)
     place = (((grams * (salt | np.uint64(1))) >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
     content = np.zeros(cells, np.uint64)
     np.add.at(content, place, grams)  # shingle hashes are random numbers: their sum names the cell's content
@@ -116,7 +138,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
         yield doc, (text or "").encode("utf-8", "surrogatepass")
 
 
-SETS = "doc_id long, n long, f1 long, f2 long, counts binary"
+SETS = "doc_id long, n long, f1 long, id binary, counts binary"
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,8 +147,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held, size = [], [], 0
         for doc, raw in _texts(batch):
             grams = shingle_set(raw)
-            f1, f2 = grams.sum(dtype=np.uint64), mix(grams).sum(dtype=np.uint64)
-            rows.append((doc, len(grams), int(f1.view(np.int64)), int(f2.view(np.int64)), sketch(grams)))
+            name = set_name(grams)
+            rows.append((doc, len(grams), handle(name), name, sketch(grams)))
             held.append(grams)
             size += len(grams)
             if size > 4_000_000:
@@ -134,8 +156,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held, size = [], 0
         rows += _frequent(held)
         yield pa.RecordBatch.from_arrays([
-            pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 4 + [pa.binary()])
-        ], names=["doc_id", "n", "f1", "f2", "counts"])
+            pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int64()] * 3 + [pa.binary()] * 2)
+        ], names=["doc_id", "n", "f1", "id", "counts"])
 
 
 def _frequent(held: list[np.ndarray]) -> list[tuple]:
@@ -145,7 +167,7 @@ def _frequent(held: list[np.ndarray]) -> list[tuple]:
     first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
     n = np.diff(np.append(first, len(grams)))
     keep = n >= FREQUENT_LOCAL
-    return [(None, c, g, 0, None) for c, g in zip(n[keep].tolist(), _signed(grams[first[keep]]).tolist(), strict=True)]
+    return [(None, c, g, None, None) for c, g in zip(n[keep].tolist(), _signed(grams[first[keep]]).tolist(), strict=True)]
 
 
 def _sign(values: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +180,7 @@ def _sign(values: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
                 continue
             mine = signatures(grams, frequent)
             sigs.append(mine)
-            owners.append(np.full(len(mine), grams.sum(dtype=np.uint64)))
+            owners.append(np.full(len(mine), handle(set_name(grams))))
             size += len(mine)
             if size > 500_000:
                 yield _pairs(sigs, owners)
@@ -169,7 +191,7 @@ def _sign(values: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
 
 def _pairs(sigs: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
     sig, owner = np.concatenate(sigs), np.concatenate(owners)
-    return pa.RecordBatch.from_arrays([pa.array(_signed(sig)), pa.array(_signed(owner))], names=["sig", "f1"])
+    return pa.RecordBatch.from_arrays([pa.array(_signed(sig)), pa.array(owner, pa.int64())], names=["sig", "f1"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,49 +221,115 @@ def may_link(n1: np.ndarray, c1: np.ndarray, n2: np.ndarray, c2: np.ndarray) ->
 
 
 def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one signature and different components that the parities allow; rows come ordered by signature."""
-    held = None
+    """Pairs of unlike components inside a signature's block that the parities allow.
+
+    Rows come ordered by leader, block pair and signature. Signatures of one
+    leader hold much the same documents, so what they repeat is dropped here.
+    """
+    held, pairs, leader = None, [], None
     for batch in batches:
-        rows = [batch.column(c).to_numpy() for c in ("sig", "doc_id", "component", "n")]
+        rows = [batch.column(c).to_numpy() for c in ("leader", "i", "j", "sig", "block", "doc_id", "component", "n")]
         rows.append(np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint64).reshape(-1, BUCKETS // 64))
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-        tail = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
-        held = [x[tail:] for x in rows]
-        yield from _compare(*[x[:tail] for x in rows])
+        if not len(rows[0]):
+            continue
+        group = np.flatnonzero(np.any([np.diff(rows[c], prepend=rows[c][0] - 1) != 0 for c in range(4)], 0))
+        held = [x[group[-1] :] for x in rows]
+        rows = [x[: group[-1]] for x in rows]
+        for part in np.split(np.arange(group[-1]), np.flatnonzero(np.diff(rows[0])) + 1):
+            if len(part) and rows[0][part[0]] != leader:
+                yield from _told(pairs)
+                pairs, leader = [], rows[0][part[0]]
+            pairs += _compare([x[part] for x in rows], np.flatnonzero(np.isin(part, group)))
+            if sum(map(len, pairs)) > PAIRS:
+                yield from _told(pairs)
+                pairs = []
     if held is not None:
-        yield from _compare(*held)
+        pairs += _compare(held, np.zeros(1, np.int64))
+    yield from _told(pairs)
+
 
+def _told(pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if pairs:
+        found = np.unique(np.concatenate(pairs), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
-def _compare(sig: np.ndarray, doc: np.ndarray, comp: np.ndarray, n: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Each row with the one k places on, for all k that stay inside a signature: all groups of the block at once."""
-    k, at = 1, np.arange(len(sig))
+
+def _compare(rows: list[np.ndarray], starts: np.ndarray) -> list[np.ndarray]:
+    """Each row with the one k places on, for all k that stay inside a group: all groups at once."""
+    _, i, j, _, block, doc, comp, n, counts = rows
+    group = np.zeros(len(doc), np.int64)
+    group[starts[1:] if len(starts) and starts[0] == 0 else starts] = 1
+    group = np.cumsum(group)
+    out, k, at = [], 1, np.arange(len(doc))
     while True:
-        at = at[at + k < len(sig)]
-        at = at[sig[at] == sig[at + k]]
+        at = at[at + k < len(doc)]
+        at = at[group[at] == group[at + k]]
         if not len(at):
-            return
-        i = at[comp[at] != comp[at + k]]
-        for part in np.split(i, range(BLOCK, len(i), BLOCK)):
+            return out
+        new = at[(comp[at] != comp[at + k]) & ((i[at] == j[at]) | (block[at] != block[at + k]))]
+        for part in np.split(new, range(BLOCK, len(new), BLOCK)):
             ok = part[may_link(n[part], counts[part], n[part + k], counts[part + k])]
             if len(ok):
                 p, q = doc[ok], doc[ok + k]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
+                out.append(np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)], 1), axis=0))
         k += 1
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those (a, b) pairs of document ids whose sets are similar enough."""
     pairs = staged(pairs, "candidates")
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    ids = staged(ids, "candidate_ids")
+    ids = staged(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "candidate_ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     sets = staged(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, grams array<long>"), "sets")
     both = F.size(F.array_intersect("x", "y"))
-    return staged(
+    links = staged(
         pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a")
         .join(sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
         .where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both)).select("a", "b"), "links")
+    release(pairs, ids, sets)
+    return links
+
+
+def _named(classes: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Classes with the component their representative is in so far."""
+    if links is None:
+        return classes.withColumn("component", F.col("doc_id"))
+    joined = components(links).withColumnRenamed("node", "doc_id")
+    return classes.join(joined, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+
+def _mixed(shared: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows of signatures whose documents are not all connected, with their leader: the document that shares most."""
+    rows = shared.join(named.select("f1", "doc_id", "component", "n", "counts"), "f1")
+    best = rows.groupBy("sig").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"),
+        F.max(F.struct("degree", "doc_id", "component")).alias("top"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("who"),
+    ).where("lo < hi").drop("lo", "hi")
+    return rows.join(best, "sig")
+
+
+def _to_leaders(mixed: DataFrame) -> DataFrame:
+    """A pair per document: with the greatest leader of its signatures that it is not connected with."""
+    top = (
+        mixed.where(F.col("component") != F.col("top.component")).groupBy("doc_id").agg(F.max("top").alias("top"))
+        .select("doc_id", F.col("top.doc_id").alias("leader"))
+    )
+    return top.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
+
+
+def _all_pairs(mixed: DataFrame) -> DataFrame:
+    """All pairs left, signatures of the same documents once and those of many documents block by block."""
+    sets = mixed.groupBy("size", "who").agg(F.min("sig").alias("sig"))
+    rows = mixed.join(sets.select("sig"), "sig", "left_semi")
+    blocks = F.ceil(F.col("size") / DOCS).cast("int")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select(
+        F.col("top.doc_id").alias("leader"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "sig", "block", "doc_id", "component", "n", "counts")
+    return rows.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "sig").mapInArrow(_cross, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -255,52 +343,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen = staged(docs.mapInArrow(_describe, SETS), "shingles")
-    per_doc = seen.where("counts is not null").select("doc_id", "n", "f1", "f2", "counts")
+    per_doc = seen.where("counts is not null").select("doc_id", "n", "f1", "id", "counts")
     top = seen.where("counts is null").groupBy("f1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "f1").limit(FREQUENT_MAX)
     frequent = np.sort(np.array([r["f1"] for r in top.select("f1").collect()], np.int64).view(np.uint64))
     held = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT_MAX numbers
     classes = staged(
-        per_doc.where("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(
+        per_doc.where("n > 0 and doc_id is not null").groupBy("f1", "id").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")
-
-    by_sig = W.Window.partitionBy("sig")
-    shared = staged(
+    signed = staged(
         docs.where("doc_id is not null").mapInArrow(lambda batches: _sign(held.value, batches), "sig long, f1 long")
-        .repartition("sig").distinct()
-        .withColumn("size", F.count(F.lit(1)).over(by_sig)).withColumn("low", F.min("f1").over(by_sig))
-        .withColumn("high", F.max("f1").over(by_sig))
-        .where("size > 1").select("sig", "f1", "low", "high"), "shared")
-    name = classes.select(F.col("f1").alias("leader"), F.col("doc_id").alias("a"))
-    first = (
-        shared.groupBy("f1").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .select("f1", F.explode(F.array("low", "high")).alias("leader")).where("f1 <> leader")
-        .join(classes.select("f1", F.col("doc_id").alias("b")), "f1").join(name, "leader")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    links = verified(docs, first)
-    joined = components(links)
-    named = classes.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    members = shared.select("sig", "f1").join(named.select("f1", "doc_id", "component", "n", "counts"), "f1")
-    mixed = shared.select("sig", "f1").join(named.select("f1", "component"), "f1").groupBy("sig").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig")
-    second = (
-        members.join(mixed, "sig", "left_semi").repartition("sig").sortWithinPartitions("sig")
-        .select("sig", "doc_id", "component", "n", "counts").mapInArrow(_cross, "a long, b long").distinct()
-    )
-    links = links.unionByName(verified(docs, second))
+        .repartition("sig").distinct().withColumn("size", F.count(F.lit(1)).over(W.Window.partitionBy("sig")))
+        .where("size > 1").select("sig", "f1", "size"), "signed")
+    degrees = signed.groupBy("f1").agg(F.sum("size").alias("degree"))
+    shared = staged(signed.join(degrees, "f1").select("sig", "f1", "degree"), "shared")
+    release(signed)
+    found, mixed = [], None
+    for number in range(ROUNDS + 1):
+        mixed = staged(_mixed(shared, _named(classes, reduce(DataFrame.unionByName, found) if found else None)), "mixed")
+        found.append(verified(docs, _to_leaders(mixed) if number < ROUNDS else _all_pairs(mixed)))
+        release(mixed)
+    release(shared)
+    links = reduce(DataFrame.unionByName, found)
     groups = components(links.unionByName(_same_id(per_doc, classes)))
     of_class = classes.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "f1", "f2", F.coalesce("component", "doc_id").alias("component"))
-    return per_doc.join(of_class, ["f1", "f2"], "left").select(
+        "f1", "id", F.coalesce("component", "doc_id").alias("component"))
+    return per_doc.join(of_class, ["f1", "id"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def _same_id(per_doc: DataFrame, classes: DataFrame) -> DataFrame:
     """Links between the classes of rows that repeat an id."""
     twice = per_doc.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
-        F.min("f1").alias("lo"), F.max("f1").alias("hi")).where("lo < hi")
-    rows = per_doc.select("doc_id", "f1", "f2").join(twice.select("doc_id"), "doc_id", "left_semi")
-    reps = rows.join(classes.select("f1", "f2", F.col("doc_id").alias("rep")), ["f1", "f2"])
+        F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    rows = per_doc.select("doc_id", "f1", "id").join(twice.select("doc_id"), "doc_id", "left_semi")
+    reps = rows.join(classes.select("f1", "id", F.col("doc_id").alias("rep")), ["f1", "id"])
     return reps.groupBy("doc_id").agg(F.collect_set("rep").alias("reps")).select(
         F.explode("reps").alias("a"), F.array_min("reps").alias("b")).where("a <> b")

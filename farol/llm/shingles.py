@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_CODE = _LOWER.astype(np.uint64) + np.uint64(1)
+KEPT_WORDS = 400_000   # words whose hash a worker keeps (some 70 MB); beyond it they are hashed again
+KEPT_BYTES = 64        # longer words are hashed each time
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,32 +20,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2^64."""
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    out = []
-    for base in (_BASE, inverse):
-        p = np.full(n, base, np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+class _Hashes(dict):
+    """64 bits of the BLAKE2 digest of a word, kept for words met before."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= KEPT_BYTES:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = value
+        return value
+
+
+_HASHES = _Hashes()
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
     """Hash of each maximal run of bytes that are not ASCII white space, A-Z lowered."""
-    data = np.frombuffer(raw, np.uint8)
-    if not len(data):
-        return np.empty(0, np.uint64)
-    size = 1 << max(12, (len(data)).bit_length())
-    power, inverse = _powers(size)
-    blank = np.ones(len(data) + 2, bool)
-    blank[1:-1] = _SPACE[data]
-    edge = np.flatnonzero(blank[1:] != blank[:-1])
-    start, stop = edge[::2], edge[1::2]
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_CODE[data] * power[: len(data)], out=total[1:])
-    return mix((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64))
+    words = raw.lower().split()
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_set(raw: bytes, width: int = 5) -> np.ndarray:
