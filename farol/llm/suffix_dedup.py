@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from farol.llm import bitmap
 from farol.llm.common import staged
-from farol.llm.shingles import _powers, mix
+from farol.llm.shingles import mix
+from farol.operators.order import number_rows
 
 SPAN = 100                 # bytes of a repeated string
 WINDOW = 64                # grams of a string, a power of two
@@ -33,7 +35,18 @@ PIECE = 1 << 20            # starts of a text whose anchors are found at a time
 BLOCK_BYTES = 2 << 20      # bytes of slices ordered at a time
 HOT_SLICES = 50_000        # different slices of one anchor above which its strings are dealt by their own hash
 DONE = 255                 # marks a settled run in the place of an offset
-LAST = (1 << 63) - 1       # stands for a NULL id
+BASE = 0x9E3779B97F4A7C15  # of the hash of a run of bytes, whose length is bounded by SPAN and WINDOW
+
+
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+    out = []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        p = np.full(n, np.uint64(base), np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
 
 
 def slices(data: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -345,17 +358,26 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    Texts are UTF-8 bytes; NULL is the empty text. Documents are ordered by
-    id, a NULL id last. Strings never cross documents and are judged on the
-    input. Rows that repeat an id count as one document, whose text is the
-    greatest of theirs, and give one row. Texts under SPAN bytes stay whole;
-    empty tables give empty results; other columns are ignored.
+    Texts are UTF-8 bytes; NULL is the empty text. Rows are ordered by id, a
+    NULL id last; rows that share an id are documents of their own, ordered by
+    text. Strings never cross documents and are judged on the input. Texts
+    under SPAN bytes stay whole; empty tables give empty results; other
+    columns are ignored.
     """
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        docs = staged(docs.groupBy("doc_id").agg(F.max("text").alias("text")), "one-per-id")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
+    if not odd:
+        return _without_repeats(docs)
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.coalesce("text", F.lit(""))]
+    numbered = number_rows(docs, order, "row")
+    done = _without_repeats(numbered.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row")
+    return numbered.select("row", "doc_id").join(done, "row").drop("row")
+
+
+def _without_repeats(docs: DataFrame) -> DataFrame:
+    """The same for ids that are all known and differ."""
     found = repeated_runs(docs)
     bits = docs.sparkSession.sparkContext.broadcast(bitmap.bitmap(found.select("doc")))
     per_doc = found.groupBy("doc").agg(F.collect_list(F.struct("first", "count")).alias("runs")).select(
@@ -364,5 +386,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     return (
         texts.join(per_doc, F.col("doc_id") == F.col("doc"), "left").drop("doc")
         .mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-        .withColumn("doc_id", F.nullif("doc_id", F.lit(LAST)))
     )
