@@ -48,8 +48,9 @@ def exact_duplicates(
     Texts are equal when they agree without ASCII white space. The row with
     the most code points in its original text stays, then the smallest id;
     NULL ids come last. NULL text is the empty text, and all empty texts form
-    one group. Rows that repeat an id and a text share its decision. Other
-    columns are ignored, an empty table gives an empty result.
+    one group. Rows that repeat an id, a text and its length are told apart by
+    their place in the written table: one of them stays at most. Other columns
+    are ignored, an empty table gives an empty result.
 
     A list is proof of equality once no identifier in it is shared. Documents
     that hold a shared one are compared by the SHA-256 of the text as well.
@@ -57,25 +58,23 @@ def exact_duplicates(
     recipes = staged(
         docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.length(text), F.lit(0)).alias("n_chars"),
                     normalised(F.col(text)).alias("norm"))
-        .select("doc_id", "n_chars", F.sha2("norm", 256).alias("text_sha256"),
+        .select("doc_id", "n_chars", F.sha2("norm", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("place"),
                 F.transform(chunks(F.col("norm")), lambda c: identify(c)).alias("recipe")),
         "recipes",
     )
-    shared = shared_identifiers(docs, text, identify)
-    unsure = (
-        recipes.select("text_sha256", F.explode("recipe").alias("ident")).join(shared, "ident", "left_semi")
-        .groupBy(F.col("text_sha256").alias("unsure")).agg(F.lit(1).alias("_one")).select("unsure")
-    )
-    keyed = recipes.join(unsure, F.col("text_sha256") == F.col("unsure"), "left")
+    shared = staged(shared_identifiers(docs, text, identify), "shared_identifiers")
+    if shared.isEmpty():
+        keyed = recipes.withColumn("extra", F.lit(""))
+    else:
+        unsure = (
+            recipes.select("text_sha256", F.explode("recipe").alias("ident")).join(shared, "ident", "left_semi")
+            .groupBy(F.col("text_sha256").alias("unsure")).agg(F.lit(1).alias("_one")).select("unsure")
+        )
+        keyed = recipes.join(unsure, F.col("text_sha256") == F.col("unsure"), "left").withColumn("extra", F.coalesce("unsure", F.lit("")))
     # Written first: both sides of the join are then plain shuffles, and adaptive execution splits a hot group's rows.
-    groups = staged(keyed.groupBy(F.col("recipe").alias("g_recipe"), F.coalesce("unsure", F.lit("")).alias("g_extra")).agg(
+    groups = staged(keyed.groupBy(F.col("recipe").alias("g_recipe"), F.col("extra").alias("g_extra")).agg(
         F.count(F.lit(1)).alias("group_size"),
-        F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("last"), "doc_id")).alias("best"),
+        F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("last"), "doc_id", "place")).alias("best"),
     ), "groups")
-    return keyed.join(
-        groups, (F.col("recipe") == F.col("g_recipe")) & (F.coalesce("unsure", F.lit("")) == F.col("g_extra")),
-    ).select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n_chars") == -F.col("best.n"))).alias("kept"),
-        "text_sha256",
-    )
+    return keyed.join(groups, (F.col("recipe") == F.col("g_recipe")) & (F.col("extra") == F.col("g_extra"))).select(
+        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("place") == F.col("best.place")).alias("kept"), "text_sha256")
