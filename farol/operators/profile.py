@@ -15,15 +15,57 @@ from farol.operators.order import exact_quantiles
 QUARTILES = {"q1": 0.25, "mediana": 0.5, "q3": 0.75}
 
 
-def _pearson(pairs: DataFrame, *keys: str) -> DataFrame:
-    """Correlation of ``x`` and ``y`` per key over the rows where both are set.
+# Values enter sums of products as whole parts of this size, so sums are exact and no order of rows or tasks changes a bit
+# (38 digits: values of 100,000 over 10^12 rows).
+SCALE = 100_000_000
 
-    Drawn from its sums, as ``corr`` fails under ANSI mode when a column is constant.
+
+def _comoments(df: DataFrame, values: dict[str, Column], pairs: list[tuple[str, str]]) -> DataFrame:
+    """(a, b, corr) over the rows where both are set; NULL where one of them is constant or no such row exists.
+
+    Rows are summed per pattern of missing values, one aggregate with a task
+    sending a row per pattern; pairs are drawn from those few rows. Values
+    that are no number of 10 digits before the point count as missing.
     """
-    sums = pairs.groupBy(*keys).agg(
-        F.regr_sxy("y", "x").alias("xy"), F.regr_sxx("y", "x").alias("xx"), F.regr_syy("y", "x").alias("yy")
-    )
-    return sums.select(*keys, F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")).alias("corr"))
+    names = list(values)
+    whole = df.select(*[F.round(v.cast("double") * SCALE).try_cast("decimal(18,0)").alias(f"v{i}") for i, v in enumerate(values.values())])
+    x = [F.col(f"v{i}") for i in range(len(names))]
+    at = {n: i for i, n in enumerate(names)}
+    wanted = {(at[a], at[b]) for a, b in pairs} | {(i, i) for i in range(len(names))}
+    held = whole.groupBy(F.concat(*[F.when(c.isNull(), "-").otherwise("x") for c in x]).alias("known")).agg(
+        F.count(F.lit(1)).cast("decimal(18,0)").alias("n"), *[F.sum(c).cast("decimal(38,0)").alias(f"s{i}") for i, c in enumerate(x)],
+        *[F.sum((x[i] * x[j]).cast("decimal(36,0)")).cast("decimal(38,0)").alias(f"p{i}_{j}") for i, j in sorted(wanted)])
+
+    def both(a: str, b: str, c: Column) -> Column:
+        known = (F.substring("known", at[a] + 1, 1) == "x") & (F.substring("known", at[b] + 1, 1) == "x")
+        return F.when(known, c)
+
+    rows = held.select(_rows([
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), *[both(a, b, F.col(c)).alias(name) for name, c in (
+            ("n", "n"), ("sx", f"s{at[a]}"), ("sy", f"s{at[b]}"), ("xx", f"p{at[a]}_{at[a]}"), ("yy", f"p{at[b]}_{at[b]}"), ("xy", f"p{at[a]}_{at[b]}"))])
+        for a, b in pairs
+    ]))
+    sums = rows.groupBy("a", "b").agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("n", "sx", "sy", "xx", "yy", "xy")])
+
+    def whole_mean(s: str) -> Column:
+        return F.round(F.try_divide(F.col(s), F.col("n")), 0).cast("decimal(18,0)")
+
+    # About a whole number near the mean, still exact; what the mean lies beside it is taken off at the end.
+    near = sums.withColumns({"mx": whole_mean("sx"), "my": whole_mean("sy")})
+    n, mx, my = F.col("n"), F.col("mx"), F.col("my")
+
+    def about(p: str, s: str, t: str, m: Column, k: Column) -> Column:
+        return F.col(p) - (m * F.col(t)).cast("decimal(38,0)") - (k * F.col(s)).cast("decimal(38,0)") + (
+            (m * k).cast("decimal(38,0)") * n).cast("decimal(38,0)")
+
+    def beside(s: str, m: Column) -> Column:
+        return (F.col(s) - (m * n).cast("decimal(38,0)")).cast("double")
+
+    rx, ry, rows_ = beside("sx", mx), beside("sy", my), n.cast("double")
+    xy = about("xy", "sx", "sy", mx, my).cast("double") - rx * ry / rows_
+    xx = about("xx", "sx", "sx", mx, mx).cast("double") - rx * rx / rows_
+    yy = about("yy", "sy", "sy", my, my).cast("double") - ry * ry / rows_
+    return near.select("a", "b", F.try_divide(xy, F.sqrt(xx) * F.sqrt(yy)).alias("corr"))
 
 
 def _rows(structs: list[Column]) -> Column:
@@ -99,27 +141,15 @@ def describe(df: DataFrame, columns: list[str], ranges: int = 256) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair over their common rows.
-
-    Column pairs are rows of one grouped aggregate: the table is read once and
-    a task sends one row per pair. As columns of a single aggregate they
-    would outgrow compiled code and run several times slower.
-    """
-    x = {c: F.col(c).cast("double") for c in columns}
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), x[a].alias("x"), x[b].alias("y"))
-        for a, b in combinations(columns, 2)
-    ])))
-    return _pearson(pairs, "a", "b")
+    """Pearson correlation of every column pair over their common rows; NULL where it is not defined."""
+    return _comoments(df, {c: F.col(c) for c in columns}, list(combinations(columns, 2)))
 
 
 def correlation_to_target(df: DataFrame, columns: list[str]) -> DataFrame:
     """Correlation of each column with the 0/1 label, strongest first."""
-    target = rules.label_or_null().cast("double").alias("y")
-    pairs = df.select(target, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("variavel"), F.col(c).cast("double").alias("x")) for c in columns
-    ])))
-    return _pearson(pairs, "variavel").orderBy(F.desc_nulls_last("corr"), "variavel")
+    values = {c: F.col(c) for c in columns} | {"": rules.label_or_null()}
+    found = _comoments(df, values, [(c, "") for c in columns])
+    return found.select(F.col("a").alias("variavel"), "corr").orderBy(F.desc_nulls_last("corr"), "variavel")
 
 
 def box_stats(df: DataFrame, measure: str, by: str, ranges: int = 256) -> DataFrame:

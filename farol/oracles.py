@@ -543,10 +543,12 @@ def all_sql() -> dict[str, str]:
     described = " union all ".join(describe(c) for c in K.PROFILE_FEATURES)
     o["a18_describe"] = sql(
         f"select variavel, count, {', '.join(f'{r(s)} as {s}' for s in stats)} from ({described})", "escopo")
-    corr = "select '{a}' as a, '{b}' as b, case when isfinite({e}) then {e} end as corr from escopo"
+    corr = "select '{a}' as a, '{b}' as b, case when {u} then {e} end as corr from escopo"
 
     def pair(a: str, b: str) -> str:
-        return corr.replace("{a}", a).replace("{b}", b).replace("{e}", f"corr({a}, {b})")
+        # Undefined where one of them is constant over the rows that have both.
+        varied = " and ".join(f"min({x}) filter ({y} is not null) < max({x}) filter ({y} is not null)" for x, y in ((a, b), (b, a)))
+        return corr.replace("{a}", a).replace("{b}", b).replace("{u}", varied).replace("{e}", f"corr({a}, {b})")
 
     def pairs_of(cols) -> str:
         return " union all ".join(pair(a, b) for i, a in enumerate(cols) for b in cols[i + 1:])

@@ -4,9 +4,10 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as entry
+from farol import oracles
+from farol import queries as q
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-MODELS = sorted(set(QUERIES) - set(ORACLE))
+QUERIES, ORACLE = {f.__name__: f for f in q.QUERIES}, oracles.all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,11 @@ def test_equals_duckdb(spark, base, duck, name):
     assert difference(QUERIES[name](spark, base), duck, ORACLE[name]) is None
 
 
+def test_entry_lists_every_query_and_statement():
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLE.keys() <= entry.oracle_sql().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
+
+
 def test_entry(spark):
     out = entry.entry(spark)
     assert out.columns == ["uf", "n", "taxa", "cobertura_historico", "taxa_prior"]

@@ -120,6 +120,19 @@ def test_histogram_of_a_constant(spark):
     assert profile.density_histogram(df, "x", "c").select("faixa", "n", "densidade").first() == (25, 2, 50.0)
 
 
+def test_correlations_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(7)
+    rows = [(rng.gauss(500, 3), None if i % 5 == 0 else rng.random(), 0.1, rng.choice([None, -1e6, 1e6 + 0.25])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    seen = set()
+    for parts in (3, 8, 200):
+        got = {(r["a"], r["b"]): r["corr"] for r in profile.correlations(df.repartition(parts), ["a", "b", "c", "d"]).collect()}
+        seen.add(tuple(sorted((k, None if v is None else v.hex()) for k, v in got.items())))
+    assert len(seen) == 1 and got["a", "c"] is None and got["c", "d"] is None
+    both = [(a, b) for a, b, _, _ in rows if b is not None]
+    assert abs(got["a", "b"] - np.corrcoef(*zip(*both))[0, 1]) < 1e-8
+
+
 def test_constant_column_has_no_correlation(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.0, 5.0), (3.0, 6.0, 5.0)], "a double, b double, k double")
     got = {(r["a"], r["b"]): r["corr"] for r in profile.correlations(df, ["a", "b", "k"]).collect()}
