@@ -41,6 +41,7 @@ PERCENT = 80               # linked when 100 * intersection >= PERCENT * union
 SINGLE = 64                # below this size every shingle is a signature
 GROUP, DROP = 3, 1         # cells of a part, and how many of them may differ
 ROUNDS = 3                 # rounds of comparisons with leaders
+SPREAD = 8                 # tasks that the signatures of one leader are dealt to
 DOCS = 4096                # documents of a signature compared with each other in one task
 RARE = 0.8                 # share of a set outside the frequent shingles that suffices for the cells
 FREQUENT_LOCAL = 4         # occurrences in one batch from which a shingle is reported
@@ -302,7 +303,7 @@ def _named(classes: DataFrame, links: DataFrame | None) -> DataFrame:
 
 def _mixed(shared: DataFrame, named: DataFrame) -> DataFrame:
     """Rows of signatures whose documents are not all connected, with their leader: the document that shares most."""
-    rows = shared.join(named.select("f1", "doc_id", "component", "n", "counts"), "f1")
+    rows = shared.join(named.select("f1", "doc_id", "component"), "f1")
     best = rows.groupBy("sig").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"),
         F.max(F.struct("degree", "doc_id", "component")).alias("top"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("who"),
@@ -319,17 +320,18 @@ def _to_leaders(mixed: DataFrame) -> DataFrame:
     return top.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
 
 
-def _all_pairs(mixed: DataFrame) -> DataFrame:
+def _all_pairs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     """All pairs left, signatures of the same documents once and those of many documents block by block."""
     sets = mixed.groupBy("size", "who").agg(F.min("sig").alias("sig"))
-    rows = mixed.join(sets.select("sig"), "sig", "left_semi")
+    rows = mixed.join(sets.select("sig"), "sig", "left_semi").join(classes.select("doc_id", "n", "counts"), "doc_id")
     blocks = F.ceil(F.col("size") / DOCS).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select(
         F.col("top.doc_id").alias("leader"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         "sig", "block", "doc_id", "component", "n", "counts")
-    return rows.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "sig").mapInArrow(_cross, "a long, b long").distinct()
+    # A leader's signatures lie in a few tasks, so that most repeated pairs meet and no task has them all.
+    return rows.repartition("leader", "i", "j", F.pmod(F.xxhash64("sig"), F.lit(SPREAD))).sortWithinPartitions("leader", "i", "j", "sig").mapInArrow(_cross, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -357,12 +359,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     degrees = signed.groupBy("f1").agg(F.sum("size").alias("degree"))
     shared = staged(signed.join(degrees, "f1").select("sig", "f1", "degree"), "shared")
     release(signed)
-    found, mixed = [], None
+    found: list[DataFrame] = []
+    mixed: DataFrame | None = None
     for number in range(ROUNDS + 1):
-        mixed = staged(_mixed(shared, _named(classes, reduce(DataFrame.unionByName, found) if found else None)), "mixed")
-        found.append(verified(docs, _to_leaders(mixed) if number < ROUNDS else _all_pairs(mixed)))
-        release(mixed)
-    release(shared)
+        # Components only grow, so signatures whose documents are connected stay out of all later rounds.
+        before, mixed = mixed or shared, staged(_mixed(
+            (mixed or shared).select("sig", "f1", "degree"), _named(classes, reduce(DataFrame.unionByName, found) if found else None)), "mixed")
+        release(before)
+        found.append(verified(docs, _to_leaders(mixed) if number < ROUNDS else _all_pairs(mixed, classes)))
+    release(mixed)
     links = reduce(DataFrame.unionByName, found)
     groups = components(links.unionByName(_same_id(per_doc, classes)))
     of_class = classes.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(

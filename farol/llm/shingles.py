@@ -8,6 +8,7 @@ import numpy as np
 
 KEPT_WORDS = 400_000   # words whose hash a worker keeps (some 70 MB); beyond it they are hashed again
 KEPT_BYTES = 64        # longer words are hashed each time
+_ONE = np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,12 +34,32 @@ class _Hashes(dict):
 
 
 _HASHES = _Hashes()
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BYTES = np.arange(9, dtype=np.uint64)
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
-    """Hash of each maximal run of bytes that are not ASCII white space, A-Z lowered."""
-    words = raw.lower().split()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    """Hash of each maximal run of bytes that are not ASCII white space, A-Z lowered.
+
+    Words of up to 8 bytes are their own number, mixed by a bijection of their
+    length; longer ones are hashed by BLAKE2.
+    """
+    raw = raw.lower()
+    data = np.frombuffer(raw, np.uint8)
+    blank = np.ones(len(data) + 2, bool)
+    blank[1:-1] = _BLANK[data]
+    edge = np.flatnonzero(blank[1:] != blank[:-1])
+    start, size = edge[::2], edge[1::2] - edge[::2]
+    eight = np.ndarray((len(data),), "<u8", raw + b"\0" * 7, strides=(1,)) if len(data) else np.empty(0, np.uint64)
+    short = np.minimum(size, 8)
+    out = mix((eight[start] & _MASK[short]) ^ mix(_BYTES[short] + _ONE))
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        words = [raw[a : a + n] for a, n in zip(start[long].tolist(), size[long].tolist(), strict=True)]
+        out[long] = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return out
 
 
 def shingle_set(raw: bytes, width: int = 5) -> np.ndarray:
