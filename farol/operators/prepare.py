@@ -93,20 +93,32 @@ def target_encoding(df: DataFrame, key: str, label: str = "label", fold: str = "
     )
 
 
+def known_numbers(df: DataFrame, numeric: list[str]) -> list[str]:
+    """Columns with at least one value, in one pass over all of them."""
+    if not numeric:
+        return []
+    counts = df.agg(*[F.count(F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")), 1)).alias(f"c{i}") for i, c in enumerate(numeric)]).first()
+    return [c for c, n in zip(numeric, counts, strict=True) if n]
+
+
 def preprocessor(df: DataFrame, numeric: list[str], categorical: list[str]) -> Pipeline:
     """Impute, scale and one-hot, as unfitted stages around the fitted text modes.
 
-    Categories unseen in training become an all-zero block.
+    Categories unseen in training become an all-zero block. A number without
+    any value is left out, as there is nothing to impute it by.
     """
+    numeric = known_numbers(df, numeric)
     mode = {r["variavel"]: r["moda"] for r in modes(df, categorical).collect()} if categorical else {}
     # A category without any value gets one label.
     literal = {c: (mode.get(c) or NO_VALUE).replace("\\", "\\\\").replace("'", "\\'") for c in categorical}
     fills = ", ".join(f"coalesce({c}, '{literal[c]}') AS {c}_f" for c in categorical)
     stages = [SQLTransformer(statement=f"SELECT *{', ' + fills if fills else ''} FROM __THIS__")]
-    stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_i" for c in numeric]))
-    stages.append(VectorAssembler(inputCols=[f"{c}_i" for c in numeric], outputCol="numeric_raw"))
-    stages.append(StandardScaler(inputCol="numeric_raw", outputCol="numeric", withMean=True, withStd=True))
-    blocks = ["numeric"]
+    blocks = []
+    if numeric:
+        stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}_i" for c in numeric]))
+        stages.append(VectorAssembler(inputCols=[f"{c}_i" for c in numeric], outputCol="numeric_raw"))
+        stages.append(StandardScaler(inputCol="numeric_raw", outputCol="numeric", withMean=True, withStd=True))
+        blocks.append("numeric")
     if categorical:
         stages.append(StringIndexer(
             inputCols=[f"{c}_f" for c in categorical], outputCols=[f"{c}_x" for c in categorical],
@@ -122,7 +134,9 @@ def preprocessor(df: DataFrame, numeric: list[str], categorical: list[str]) -> P
 
 def feature_names(pre: PipelineModel, numeric: list[str], categorical: list[str]) -> list[str]:
     """Names of the vector slots, in order."""
-    names = [f"numeric__{c}" for c in numeric]
+    assembled = next(s for s in pre.stages if s.__class__.__name__ == "VectorAssembler")
+    kept = {c.removesuffix("_i") for c in assembled.getInputCols()}
+    names = [f"numeric__{c}" for c in numeric if c in kept]
     indexer = next((s for s in pre.stages if s.__class__.__name__ == "StringIndexerModel"), None)
     if indexer is not None:
         for c, values in zip(categorical, indexer.labelsArray):

@@ -102,3 +102,13 @@ def test_modes_with_quotes_and_without_values(spark):
 
     df = spark.createDataFrame([("D'Oeste\\", None, 1.0), ("D'Oeste\\", None, 2.0), (None, None, 3.0)], "a string, b string, n double")
     assert preprocessor(df, ["n"], ["a", "b"]).fit(df).transform(df).select("a_f", "b_f").distinct().collect() == [("D'Oeste\\", "sem valor")]
+
+
+def test_number_without_any_value_is_left_out(spark):
+    from farol.operators.prepare import feature_names, preprocessor
+    df = spark.createDataFrame([(1.0, None, "x"), (2.0, float("nan"), "y"), (None, None, "x")], "n double, none double, a string")
+    for numeric, expected in ((["n", "none"], ["numeric__n"]), (["none"], [])):
+        fitted = preprocessor(df, numeric, ["a"]).fit(df)
+        names = feature_names(fitted, numeric, ["a"])
+        assert names == [*expected, "categorical__a_x", "categorical__a_y"]
+        assert {len(r["features"]) for r in fitted.transform(df).collect()} == {len(names)}
