@@ -40,7 +40,7 @@ from farol.llm.shingles import mix, shingle_set
 PERCENT = 80               # linked when 100 * intersection >= PERCENT * union
 SINGLE = 64                # below this size every shingle is a signature
 GROUP, DROP = 3, 1         # cells of a part, and how many of them may differ
-ROUNDS = 3                 # rounds of comparisons with leaders
+ROUNDS = 1                 # rounds of comparisons with leaders; a second one finds next to nothing that the last comparison does not
 SPREAD = 8                 # tasks that the signatures of one leader are dealt to
 DOCS = 4096                # documents of a signature compared with each other in one task
 RARE = 0.8                 # share of a set outside the frequent shingles that suffices for the cells
