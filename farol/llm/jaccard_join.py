@@ -11,7 +11,7 @@ Very frequent shingles are left out of the cells of documents that have enough
 others: that never adds a difference, so nothing is lost, and a passage that
 many documents share gathers them in no signature.
 
-Links are found in rounds. In each a document is compared with the document of
+Links are found in two steps. In the first a document is compared with the document of
 its signatures that shares most with all others, which is the middle of a
 group of near copies: large groups join at once, by a pair per document. What
 is left, signatures whose documents are not all connected, is compared in
