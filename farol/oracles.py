@@ -793,4 +793,31 @@ def all_sql() -> dict[str, str]:
         select sigla_uf_code, {', '.join(f"{r(f'avg({part(c)})')} as {c}" for c in weights)},
           {', '.join(f"{r(f'avg(abs({part(c)}))')} as abs_{c}" for c in weights)}
         from escopo group by sigla_uf_code""", "escopo")
+    # The supplied ensemble by brute force: its expected score for each set of known features (p, i, m).
+    ensemble = """
+        bits as (select sigla_uf_code, coalesce(inse_municipio <= 4.2::double, false)::int::double as inse,
+            coalesce(meta_2024 <= 56, false)::int::double as meta, coalesce(peso_aluno <= 13, false)::int::double as p13,
+            coalesce(peso_aluno <= 25, false)::int::double as p25, coalesce(peso_aluno <= 38, false)::int::double as p38
+          from escopo),
+        shares as (select avg(inse) as inse, avg(p25) filter (inse = 1) as p25, avg(meta) filter (inse = 0) as meta,
+            avg(p13) as p13, avg(p38) filter (p13 = 0) as p38, avg(inse) filter (p38 = 0) as inse38 from bits),
+        known as (select * from (values (0), (1)) a(p), (values (0), (1)) b(i), (values (0), (1)) c(m)),
+        ways as (select sigla_uf_code, p, i, m, if(i = 1, b.inse, s.inse) as x1, if(p = 1, b.p25, s.p25) as x2,
+            if(m = 1, b.meta, s.meta) as x3, if(p = 1, b.p13, s.p13) as x4, if(p = 1, b.p38, s.p38) as x5,
+            if(i = 1, b.inse, s.inse38) as x6 from bits b, shares s, known),
+        scores as (select sigla_uf_code, p, i, m, p + i + m as k,
+            0.5 * (x1 * (x2 * 0.2 + (1 - x2) * 0.6) + (1 - x1) * (x3 * 0.5 + (1 - x3) * 0.9))
+            + 0.5 * (x4 * 0.3 + (1 - x4) * (x5 * 0.7 + (1 - x5) * (x6 * 0.4 + (1 - x6) * 0.8))) as f from ways)"""
+    o["m16_supplied_trees"] = sql(f"""
+        with {ensemble} select sigla_uf_code, count(*) as n, {r('avg(f)')} as media, {r('min(f)')} as menor, {r('max(f)')} as maior
+        from scores where k = 3 group by sigla_uf_code""", "escopo")
+    fraction = "case {k} when 1 then 1.0::double / 6 else 1.0::double / 3 end"
+
+    def shapley(known: str, name: str) -> str:
+        signed = f"if({known} = 1, {fraction.format(k='k - 1')}, -{fraction.format(k='k')}) * f"
+        return (f"select sigla_uf_code, '{name}' as variavel, count(*) // 8 as n, {r(f'sum({signed}) / (count(*) / 8)')} as contribuicao_media, "
+                f"{r('(select min(f) from scores where k = 0)')} as base from scores group by sigla_uf_code")
+
+    o["m25_path_attribution"] = sql(f"""
+        with {ensemble} {' union all '.join(shapley(*x) for x in (('p', 'peso_aluno'), ('i', 'inse_municipio'), ('m', 'meta_2024')))}""", "escopo")
     return o

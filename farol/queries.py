@@ -11,7 +11,7 @@ from farol import constants as K
 from farol.functions import conform as C
 from farol.functions import rules
 from farol.operators import dimensions as D
-from farol.operators import experiment, explain, joins, metrics, models, order, policy, prepare, profile, search, split
+from farol.operators import experiment, explain, joins, metrics, models, order, policy, prepare, profile, search, split, trees
 from farol.plans import eda
 from farol.plans import mart as M
 from farol.plans import training
@@ -26,6 +26,13 @@ EXTRA_MEASURES = ["icg_medio", "taxa_reprovacao_2ano_prior", "taxa_abandono_2ano
 LINEAR_WEIGHTS = {"peso_aluno": 0.04, "inse_municipio": 0.3, "meta_2024": -0.01, "atu_2ano": 0.02}
 TEXT_KEYS = ["ano", "id_aluno", "id_municipio", "id_escola", "rede", "presenca", "alfabetizado", "peso_aluno"]
 TRIALS = 14
+# Trees of the supplied ensemble: tree, node, feature (place in LINEAR_WEIGHTS), threshold, left, right, value.
+SUPPLIED_TREES = [
+    (0, 0, 1, 4.2, 1, 4, 0.0), (0, 1, 0, 25.0, 2, 3, 0.0), (0, 2, None, None, None, None, 0.2), (0, 3, None, None, None, None, 0.6),
+    (0, 4, 2, 56.0, 5, 6, 0.0), (0, 5, None, None, None, None, 0.5), (0, 6, None, None, None, None, 0.9),
+    (1, 0, 0, 13.0, 1, 2, 0.0), (1, 1, None, None, None, None, 0.3), (1, 2, 0, 38.0, 3, 4, 0.0), (1, 3, None, None, None, None, 0.7),
+    (1, 4, 1, 4.2, 5, 6, 0.0), (1, 5, None, None, None, None, 0.4), (1, 6, None, None, None, None, 0.8),
+]
 
 
 # Means of short decimals often end in an exact 5 at the digit after the last one
@@ -820,6 +827,34 @@ def m25_tree_attribution(spark, base):
     )
 
 
+def _supplied_trees(spark, base) -> tuple[DataFrame, DataFrame, Column]:
+    """Fixed trees over the columns of ``LINEAR_WEIGHTS``, covers counted on the rows in scope; the rows and their features."""
+    rows = _scope(spark, base)
+    x = F.array(*[F.col(c).cast("double") for c in LINEAR_WEIGHTS])
+    nodes = spark.createDataFrame(SUPPLIED_TREES, "tree int, node int, feature int, threshold double, left int, right int, value double").withColumn(
+        "weight", F.lit(0.5))
+    return trees.with_cover(nodes, rows, x, 3), rows, x
+
+
+def m16_supplied_trees(spark, base):
+    """Scores of a supplied ensemble, read from its node table, per state."""
+    nodes, rows, x = _supplied_trees(spark, base)
+    return trees.with_score(rows, x, nodes, 3).groupBy("sigla_uf_code").agg(
+        F.count(F.lit(1)).alias("n"), _r(F.avg("score")).alias("media"), _r(F.min("score")).alias("menor"),
+        _r(F.max("score")).alias("maior"))
+
+
+def m25_path_attribution(spark, base):
+    """Exact contributions to the same ensemble's scores, mean per state, with the base value."""
+    nodes, rows, x = _supplied_trees(spark, base)
+    paths = trees.paths(nodes)
+    sums = trees.path_attribution(rows, x, paths, list(LINEAR_WEIGHTS), ["sigla_uf_code"])
+    sizes = rows.groupBy(F.col("sigla_uf_code").alias("uf")).agg(F.count(F.lit(1)).alias("n"))
+    return sums.join(sizes, F.col("uf").eqNullSafe(F.col("sigla_uf_code"))).select(
+        "sigla_uf_code", "variavel", "n", _r(F.col("contribuicao") / F.col("n")).alias("contribuicao_media"),
+        _r(trees.base_value(paths).scalar()).alias("base"))
+
+
 # The arms' boosted trees are left to the library call: two more fits of 200 rounds take ten minutes at any size.
 ARM_MODELS = ["logistic", "random_forest"]
 
@@ -868,7 +903,7 @@ QUERIES = [
     a21_arm_delta, t6_arm_champion, m27_leakage_alarm, w4_running_mean, m20_median_stop, a22_depth_curve,
     t5_depth_peak, m21_merge_best,
     m15_logistic, m16_forest, m17_boosted, m18_compare, m19_search, m24_importance, m32_group_importance,
-    m25_linear_attribution, m25_tree_attribution, m26_ab_block, m26_enrichment_block, m28_clusters,
+    m25_linear_attribution, m25_tree_attribution, m16_supplied_trees, m25_path_attribution, m26_ab_block, m26_enrichment_block, m28_clusters,
 ]
 
 
