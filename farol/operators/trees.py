@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farol.functions import rules
+from farol.operators.boosting import BoostedTreesModel
 from farol.session import new_path
 from farol.sources import sinks
 
@@ -26,6 +27,10 @@ MAX_NODES = 1_000_000  # an ensemble travels to every task: 100 MB at most
 def node_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Nodes of a fitted forest or boosted ensemble, read from its stored form."""
     classifier = model.stages[-1]
+    if isinstance(classifier, BoostedTreesModel):
+        return spark.createDataFrame(
+            classifier.node_rows(), "tree int, node int, feature int, threshold double, left int, right int, cover double, gain double, value double"
+        ).withColumn("weight", F.lit(1.0))
     if not hasattr(classifier, "treeWeights"):
         raise ValueError("the model has no trees")
     boosted = isinstance(classifier, GBTClassificationModel)
