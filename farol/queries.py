@@ -855,7 +855,7 @@ def m25_path_attribution(spark, base):
         _r(trees.base_value(paths).scalar()).alias("base"))
 
 
-# The arms' boosted trees are left to the library call: two more fits of 200 rounds take ten minutes at any size.
+# The arms' boosted trees are left to the library call: two more fits of 200 rounds take seven minutes on one machine.
 ARM_MODELS = ["logistic", "random_forest"]
 
 
