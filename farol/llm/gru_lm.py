@@ -160,36 +160,53 @@ class GruLm:
         return self
 
     def step(self, word: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """Next states, a row for each lane."""
+        state, cache = self._step(word, h.T, *self.turned())
+        return state.T, cache
+
+    def _step(self, word: np.ndarray, h: np.ndarray, inputs: np.ndarray, gates: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """Next states, a column for each lane, so that every gate is one block of memory; ``inputs`` and ``gates`` are
+        the turned weights, the bias with the inputs."""
         n = HIDDEN
-        x = self.p["x"][word] + self.p["b"]
-        g = h @ self.p["u"]
-        zr = _sigmoid(x[:, : 2 * n] + g[:, : 2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
-        return h + z * (c - h), (word, h, z, r, c, g[:, 2 * n :])
-
-    def class_logs(self, h: np.ndarray) -> np.ndarray:
-        logits = h @ self.p["c"] + self.p["cb"]
-        logits -= logits.max(1, keepdims=True)
-        return logits - np.log(np.exp(logits).sum(1, keepdims=True))
-
-    def by_class(self, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
-        """(rows, words, place) of each class among the targets."""
+        x, g = inputs.take(word, 1), gates @ h
+        zr = _sigmoid(x[: 2 * n] + g[: 2 * n])
+        z, r, gu = zr[:n], zr[n:], g[2 * n :]
+        c = np.tanh(x[2 * n :] + r * gu)
+        return h + z * (c - h), (word, h, z, r, c, gu)
+
+    def turned(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.ascontiguousarray((self.p["x"] + self.p["b"]).T), np.ascontiguousarray(self.p["u"].T)
+
+    def by_class(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[slice, slice]]]:
+        """Order of the targets by class, their classes and places in it, and (columns, words) of each class."""
         kind = self.class_of[target].astype(np.uint8 if len(self.sizes) < 256 else np.uint16)
         order = np.argsort(kind, kind="stable")
-        ends = np.searchsorted(kind[order], np.arange(len(self.sizes) + 1))
-        for k in np.flatnonzero(np.diff(ends)):
-            rows = order[ends[k] : ends[k + 1]]
-            yield rows, slice(self.first[k], self.first[k + 1]), self.place[target[rows]]
+        kind = kind[order]
+        ends = np.searchsorted(kind, np.arange(len(self.sizes) + 1))
+        met = np.flatnonzero((np.diff(ends) > 0) & (self.sizes > 1))
+        blocks = [(slice(ends[k], ends[k + 1]), slice(self.first[k], self.first[k + 1])) for k in met]
+        return order, kind.astype(np.int64), self.place[target[order]], blocks
 
     def log_probs(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log probability of each target after each state."""
-        out = np.take_along_axis(self.class_logs(h), self.class_of[target][:, None], 1)[:, 0].astype("f8")
-        for rows, words, place in self.by_class(target):
-            if words.stop - words.start > 1:
-                logits = h[rows] @ self.p["w"][words].T + self.p["wb"][words]
-                logits -= logits.max(1, keepdims=True)
-                out[rows] += logits[np.arange(len(rows)), place] - np.log(np.exp(logits).sum(1))
+        """Natural log probability of each target after each state (rows)."""
+        return self._log_probs(h.T, target)
+
+    def _log_probs(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+        order, kind, place, blocks = self.by_class(target)
+        h, every = h.take(order, 1), np.arange(len(target))
+
+        def logs(weights: np.ndarray, bias: np.ndarray, states: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+            logits = weights @ states
+            logits += bias[:, None]
+            logits -= logits.max(0)
+            met = logits[chosen, every[: len(chosen)]]
+            return met - np.log(np.exp(logits, out=logits).sum(0))
+
+        found = logs(np.ascontiguousarray(self.p["c"].T), self.p["cb"], h, kind).astype("f8")
+        for at, words in blocks:
+            found[at] += logs(self.p["w"][words], self.p["wb"][words], h[:, at], place[at])
+        out = np.empty(len(target))
+        out[order] = found
         return out
 
     def train(self, stream: list[np.ndarray]) -> int:
@@ -213,61 +230,82 @@ class GruLm:
                 g = np.clip(g[of], -1, 1)
                 m, v = mean[k][of], var[k][of]
                 m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                self.p[k][of] -= RATE / np.sqrt(t) ** 0.5 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
+                g *= g
+                g -= v
+                g *= 0.01
+                v += g
+                np.divide(v, 1 - 0.99**t, out=g)
+                np.sqrt(g, out=g)
+                g += 1e-6
+                np.divide(m, g, out=g)
+                g *= RATE / np.sqrt(t) ** 0.5 / (1 - 0.9**t)
+                self.p[k][of] -= g
                 if k == "x":
                     mean[k][of], var[k][of] = m, v
         return int(live.sum())
 
     def window(self, words: np.ndarray, live: np.ndarray, h: np.ndarray, last: np.ndarray):
         """Gradients of one window's mean log loss, the state after it and the words read last."""
-        p, n, kept, states = self.p, HIDDEN, [], []
+        p, n, kept, states, turned, h = self.p, HIDDEN, [], [], self.turned(), h.T
         for now in words:
-            h = h * (last != END)[:, None]  # a document starts from nothing
-            h, cache = self.step(last, h)
+            h = h * (last != END)  # a document starts from nothing
+            h, cache = self._step(last, h, *turned)
             kept.append(cache)
             states.append(h)
             last = now
-        hs, target, on = np.concatenate(states), words.ravel(), live.ravel()
-        scale = 1 / max(1, int(on.sum()))
-        dc = np.exp(self.class_logs(hs))
-        dc[np.arange(len(target)), self.class_of[target]] -= 1
-        dc *= (on * scale)[:, None].astype("f4")
+        order, kind, place, blocks = self.by_class(words.ravel())
+        hs, on, every = np.concatenate(states, 1).take(order, 1), live.ravel()[order], np.arange(len(order))
+        weight = (on / max(1, int(on.sum()))).astype(hs.dtype)
+
+        def loss(weights: np.ndarray, bias: np.ndarray, at: slice, chosen: np.ndarray) -> np.ndarray:
+            e = weights @ hs[:, at]
+            e += bias[:, None]
+            e -= e.max(0)
+            np.exp(e, out=e)
+            scale = weight[at]
+            e *= scale / e.sum(0)
+            e[chosen, every[: len(chosen)]] -= scale
+            return e
+
         g = {k: np.zeros_like(a) for k, a in p.items()}
-        g["c"], g["cb"], dh = hs.T @ dc, dc.sum(0), dc @ p["c"].T
-        for rows, block, place in self.by_class(target):
-            if block.stop - block.start > 1:
-                logits = hs[rows] @ p["w"][block].T + p["wb"][block]
-                e = np.exp(logits - logits.max(1, keepdims=True))
-                e /= e.sum(1, keepdims=True)
-                e[np.arange(len(rows)), place] -= 1
-                e *= (on[rows] * scale)[:, None].astype("f4")
-                g["w"][block] += e.T @ hs[rows]
-                g["wb"][block] += e.sum(0)
-                dh[rows] += e @ p["w"][block]
-        dh, carry, inputs = dh.reshape(len(words), -1, n), 0, []
+        e = loss(np.ascontiguousarray(p["c"].T), p["cb"], slice(None), kind)
+        g["c"], g["cb"], back = hs @ e.T, e.sum(1), p["c"] @ e
+        for at, block in blocks:
+            e = loss(p["w"][block], p["wb"][block], at, place[at])
+            g["w"][block], g["wb"][block] = e @ hs[:, at].T, e.sum(1)
+            back[:, at] += p["w"][block].T @ e
+        dh = np.empty_like(back)
+        dh[:, order] = back
+        dh, carry = dh.reshape(n, len(words), -1), 0
+        da, du = (np.empty((3 * n, *words.shape), hs.dtype) for _ in range(2))
+        # What does not hang on the steps after is done for all steps at once.
+        before, z, r, c, gu = (np.stack([k[i] for k in kept], 1) for i in range(1, 6))
+        rest = 1 - z
+        of_n, of_z, of_r = z * (1 - c * c), (c - before) * z * rest, gu * r * (1 - r)
+        rest *= np.stack([k[0] for k in kept]) != END
+        passed = (np.stack([k[0] for k in kept]) != END).astype(hs.dtype)
         for t in range(len(words) - 1, -1, -1):
-            word, before, z, r, c, gu = kept[t]
-            d = dh[t] + carry
-            dn = d * z * (1 - c * c)
-            da = np.concatenate([d * (c - before) * z * (1 - z), dn * gu * r * (1 - r), dn], 1)
-            du = np.concatenate([da[:, : 2 * n], dn * r], 1)
-            inputs.append((word, da))
-            g["b"] += da.sum(0)
-            g["u"] += before.T @ du
-            carry = (d * (1 - z) + du @ p["u"].T) * (word != END)[:, None]
-        word, da = np.concatenate([w for w, _ in inputs]), np.concatenate([d for _, d in inputs])
+            d = dh[:, t] + carry
+            dn = np.multiply(d, of_n[:, t], out=da[2 * n :, t])
+            np.multiply(d, of_z[:, t], out=da[:n, t])
+            np.multiply(dn, of_r[:, t], out=da[n : 2 * n, t])
+            du[: 2 * n, t] = da[: 2 * n, t]
+            np.multiply(dn, r[:, t], out=du[2 * n :, t])
+            carry = d * rest[:, t] + (p["u"] @ du[:, t]) * passed[t]
+        da, du = da.reshape(3 * n, -1), du.reshape(3 * n, -1)
+        g["b"], g["u"] = da.sum(1), before.reshape(n, -1) @ du.T
+        word = np.concatenate([k[0] for k in kept])
         order = np.argsort(word, kind="stable")
         met, first = np.unique(word[order], return_index=True)
-        g["x"][met] = np.add.reduceat(da[order], first)
-        return g, h, last
+        g["x"][met] = np.add.reduceat(np.ascontiguousarray(da.T)[order], first)
+        return g, h.T, last
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each document; each ends with the end mark."""
         order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
         sizes = np.array([len(docs[i]) for i in order])
         out = np.zeros(len(docs))
-        h, last = np.zeros((len(docs), HIDDEN), "f4"), np.full(len(docs), END)
+        h, last, turned = np.zeros((HIDDEN, len(docs)), "f4"), np.full(len(docs), END), self.turned()
         for at in range(0, int(sizes[0]) if len(sizes) else 0, WINDOW):
             lanes = int((sizes > at).sum())
             span = min(WINDOW, int(sizes[0]) - at)
@@ -275,16 +313,16 @@ class GruLm:
             for i in range(lanes):
                 part = docs[order[i]][at : at + span]
                 grid[: len(part), i] = part
-            h, last, states, targets, owners = h[:lanes], last[:lanes], [], [], []
+            h, last, states, targets, owners = h[:, :lanes], last[:lanes], [], [], []
             for t in range(span):
                 on = int((sizes[:lanes] > at + t).sum())
-                h, _ = self.step(last[:on], h[:on])
+                h, _ = self._step(last[:on], np.ascontiguousarray(h[:, :on]), *turned)
                 last = grid[t, :on]
                 states.append(h)
                 targets.append(last)
                 owners.append(np.arange(on))
-            hs, target, owner = np.concatenate(states), np.concatenate(targets), np.concatenate(owners)
-            out += np.bincount(owner, self.log_probs(hs, target), len(docs))
+            hs, target, owner = np.concatenate(states, 1), np.concatenate(targets), np.concatenate(owners)
+            out += np.bincount(owner, self._log_probs(hs, target), len(docs))
         back = np.zeros(len(docs))
         back[order] = out
         return back
@@ -334,6 +372,7 @@ def fit(docs: DataFrame, lex: Lexicon) -> GruLm:
     return model
 
 
+SCORED_NAMES = ["row", "doc_id", "word", "n", "n_tokens", "n_known", "base", "score"]
 SCORED = "row long, doc_id long, word string, n long, n_tokens long, n_known long, base double, score double"
 
 
@@ -349,22 +388,30 @@ def _scored(lex: Lexicon, values: np.ndarray, batches: Iterator[pa.RecordBatch])
     for batch in batches:
         keys, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
         for first, texts in by_bytes(batch.column("text").to_pylist(), BATCH_CHARS):
-            rows, coded, extra = [], [], []
+            rare_words, rare_counts, distinct, coded, extra = [], [], [], [], []
             for k, text in enumerate(texts, first):
                 words = tokens(text)
                 at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
                 missing = np.flatnonzero(at < 0)
                 rare = Counter([words[i] for i in missing.tolist()])
-                rows += [(keys[k], ids[k], w, c, None, None, None, None) for w, c in rare.items()]
+                rare_words += rare.keys()
+                rare_counts += rare.values()
+                distinct.append(len(rare))
                 extra.append((keys[k], ids[k], len(words) + 1, len(words) - len(missing) + ("" in place),
                               float(base[at].sum()) + ends, float(other[at].sum())))
                 coded.append(np.append(word[at], END))
             scores = model.score(coded) * log10e
-            rows += [(key, doc, None, None, n, known, b, float(s) + inside)
-                     for (key, doc, n, known, b, inside), s in zip(extra, scores, strict=True)]
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
-                                             names=["row", "doc_id", "word", "n", "n_tokens", "n_known", "base", "score"])
+            of = slice(first, first + len(texts))
+            at, size = pa.array(np.repeat(np.arange(first, first + len(texts)), distinct)), len(rare_words)
+            whole, real = pa.nulls(size, pa.int64()), pa.nulls(size, pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row").take(at), batch.column("doc_id").take(at), pa.array(rare_words, pa.string()),
+                 pa.array(rare_counts, pa.int64()), whole, whole, real, real], names=SCORED_NAMES)
+            length, known, base_sum, inside = zip(*[e[2:] for e in extra], strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[of], pa.int64()), pa.array(ids[of], pa.int64()), pa.nulls(len(texts), pa.string()), pa.nulls(len(texts), pa.int64()),
+                 pa.array(length, pa.int64()), pa.array(known, pa.int64()), pa.array(base_sum, pa.float64()),
+                 pa.array(scores + np.array(inside), pa.float64())], names=SCORED_NAMES)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from compare import connect, difference
 from pyspark.sql import functions as F
@@ -467,3 +468,20 @@ def test_pipeline_equals_its_stages(spark, base):
     for r in out:
         per[r["doc_id"]] += r["n_tokens"]
     assert all(per[r[0]] == len(r[1].split()) + 1 for r in rows)
+
+
+def test_language_model_steps_and_words_in_columns(spark):
+    lex = gru_lm.lexicon(spark.createDataFrame([("", 5), ("a", 9), ("b", 4), ("c", 2)], "word string, n long"))
+    model, n, random = gru_lm.GruLm(lex), gru_lm.HIDDEN, np.random.default_rng(2)
+    h, word = random.normal(size=(7, n)).astype("f4"), random.integers(0, 4, 7)
+    x, g = model.p["x"][word] + model.p["b"], h @ model.p["u"]
+    z, r = (1 / (1 + np.exp(-(x + g)[:, at : at + n])) for at in (0, n))
+    want = h + z * (np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :]) - h)
+    got, _ = model._step(word, np.ascontiguousarray(h.T), *model.turned())
+    assert got.shape == (n, 7) and got.T == pytest.approx(want, abs=1e-5)
+    texts = ["a x y x", None, "b a", "z"]
+    batch = pa.RecordBatch.from_arrays([pa.array([4, 5, 6, 7]), pa.array([1, None, 3, 3]), pa.array(texts)], names=["row", "doc_id", "text"])
+    rare, whole = gru_lm._scored(lex, model.flat(), iter([batch]))
+    assert [(r["row"], r["doc_id"], r["word"], r["n"]) for r in rare.to_pylist()] == [(4, 1, "x", 2), (4, 1, "y", 1), (7, 3, "z", 1)]
+    assert rare.column("score").null_count == 3 and whole.column("word").null_count == 4
+    assert [(r["row"], r["doc_id"], r["n_tokens"], r["n_known"]) for r in whole.to_pylist()] == [(4, 1, 5, 2), (5, None, 1, 1), (6, 3, 3, 3), (7, 3, 2, 1)]
