@@ -15,17 +15,17 @@ state across windows, from the first word of a document to its end.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from math import prod
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farol.llm.common import by_bytes, remainder, staged
+from farol.llm.common import remainder, staged
 
 HIDDEN = 16            # state of the recurrent unit
 WORDS = 1022           # frequent words the model knows at least, beside "other" and the end; they grow with the corpus
@@ -37,35 +37,46 @@ WINDOWS = 256          # updates of a stream, at least, before it gets more lane
 MOST_LANES = 512
 BLOCK = 4096           # weights that travel in a row
 RATE = 0.02
-WINDOW = 64            # steps of a scoring window
+WINDOW = 1 << 15       # words of a scoring window
+CELLS = 1 << 17        # logits worked on at a time, so that they stay in a core's cache
+SAFE = 60              # logits whose exponentials neither overflow nor vanish
 BATCH_CHARS = 16 << 20  # text scored side by side
-FLUSH = 500_000        # distinct words a task counts before it passes them on
+COUNT_CHARS = 32 << 20  # text counted at a time
 OTHER, END = 0, 1
-_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz     ")
 
 
-def tokens(text: str) -> list[str]:
-    """Words without the end mark: runs without ASCII white space, A-Z lowered."""
-    words = text.encode().translate(_PLAIN).decode().split(" ")
-    return [w for w in words if w] if "" in words else words
+def _slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, pa.Array]]:
+    """(first position, texts) of about ``limit`` characters; NULL becomes the empty text."""
+    texts = pc.fill_null(texts, "")
+    start, held = 0, 0
+    for at, size in enumerate(pc.utf8_length(texts).to_pylist()):
+        if at > start and held + size > limit:
+            yield start, texts.slice(start, at - start)
+            start, held = at, 0
+        held += size
+    if start < len(texts):
+        yield start, texts.slice(start)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[str] = Counter()
+def _split(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The text of each word, and the words: runs without ASCII white space, A-Z lowered."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    of, words = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy(zero_copy_only=False)), split.flatten()
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    return (of, words) if real.all() else (of[real], words.filter(pa.array(real)))
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
-        counts.clear()
-        return out
 
+def tokens(text: str) -> list[str]:
+    """Words of a text, without the end mark."""
+    return _split(pa.array([text], pa.string()))[1].to_pylist()
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            counts.update(tokens(text or ""))
-            counts[""] += 1  # the end
-            if len(counts) > FLUSH:
-                yield flush()
-    if counts:
-        yield flush()
+        for _, texts in _slices(batch.column("text"), COUNT_CHARS):
+            counts = _split(texts)[1].value_counts()
+            for words, n in ((counts.field("values"), counts.field("counts")), (pa.array([""]), pa.array([len(texts)]))):  # the ends
+                yield pa.RecordBatch.from_arrays([words.cast(pa.string()), n.cast(pa.int64())], names=["word", "n"])
 
 
 @dataclass
@@ -127,12 +138,8 @@ def _classes(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return class_of, place, np.array(sizes)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class GruLm:
-    """Weights: word inputs to the three gates, state to gates, class output, word output of each class."""
+    """Weights: word inputs to the three gates, state to gates, class output, word output of each class; the outputs' last column is their bias."""
 
     def __init__(self, lex: Lexicon, seed: int = 5):
         rng, v, h = np.random.default_rng(seed), len(lex.unigram), HIDDEN
@@ -142,12 +149,27 @@ class GruLm:
         mass = np.zeros(v)
         mass[self.row] = lex.unigram
         per_class = np.add.reduceat(mass, self.first[:-1])
-        self.p = {
-            "x": rng.normal(0, 0.1, (v, 3 * h)), "u": rng.normal(0, 0.2, (h, 3 * h)), "b": np.zeros(3 * h),
-            "c": rng.normal(0, 0.1, (h, len(lex.sizes))), "cb": np.log(per_class),
-            "w": rng.normal(0, 0.1, (v, h)), "wb": np.log(mass / np.repeat(per_class, lex.sizes)),
-        }
+        x, u, c, w = (rng.normal(0, scale, shape) for scale, shape in
+                      ((0.1, (v, 3 * h)), (0.2, (h, 3 * h)), (0.1, (h, len(lex.sizes))), (0.1, (v, h))))
+        self.p = {"x": x, "u": u, "b": np.zeros(3 * h), "c": np.c_[c.T, np.log(per_class)],
+                  "w": np.c_[w, np.log(mass / np.repeat(per_class, lex.sizes))]}
         self.p = {k: a.astype("f4") for k, a in self.p.items()}
+        self.rooms: dict[str, np.ndarray] = {}
+        self.met = np.zeros(0, np.int64)
+
+    def room(self, name: str, *shape: int) -> np.ndarray:
+        """An array whose memory is used again at each call; fresh memory for each result costs more than most of the sums."""
+        size, kind = prod(shape), self.p["u"].dtype
+        if name not in self.rooms or self.rooms[name].size < size or self.rooms[name].dtype != kind:
+            self.rooms[name] = np.zeros(size, kind)
+        return self.rooms[name][:size].reshape(shape)
+
+    def by_row(self, name: str, a: np.ndarray) -> np.ndarray:
+        """Steps x rows x lanes as rows x (steps and lanes)."""
+        steps, rows, lanes = a.shape
+        out = self.room(name, rows, steps, lanes)
+        out[:] = a.transpose(1, 0, 2)
+        return out.reshape(rows, -1)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([a.ravel() for a in self.p.values()])
@@ -167,15 +189,32 @@ class GruLm:
     def _step(self, word: np.ndarray, h: np.ndarray, inputs: np.ndarray, gates: np.ndarray) -> tuple[np.ndarray, tuple]:
         """Next states, a column for each lane, so that every gate is one block of memory; ``inputs`` and ``gates`` are
         the turned weights, the bias with the inputs."""
-        n = HIDDEN
-        x, g = inputs.take(word, 1), gates @ h
-        zr = _sigmoid(x[: 2 * n] + g[: 2 * n])
-        z, r, gu = zr[:n], zr[n:], g[2 * n :]
-        c = np.tanh(x[2 * n :] + r * gu)
-        return h + z * (c - h), (word, h, z, r, c, gu)
+        n, x, g = HIDDEN, inputs.take(word, 1), gates @ h
+        out = np.empty_like(g[:n])
+        self._next(x, g, h, out)
+        return out, (word, h, x[:n], x[n : 2 * n], x[2 * n :], g[2 * n :])
 
-    def turned(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.ascontiguousarray((self.p["x"] + self.p["b"]).T), np.ascontiguousarray(self.p["u"].T)
+    def _next(self, x: np.ndarray, g: np.ndarray, h: np.ndarray, out: np.ndarray) -> None:
+        """Next states into ``out``; ``x``, the inputs, becomes the two gates and the candidate."""
+        n = HIDDEN
+        zr, c = x[: 2 * n], x[2 * n :]
+        zr += g[: 2 * n]
+        np.tanh(zr, out=zr)   # of half the sum, so that this is the logistic function
+        zr *= 0.5
+        zr += 0.5
+        np.multiply(zr[n:], g[2 * n :], out=out)
+        c += out
+        np.tanh(c, out=c)
+        np.subtract(c, h, out=out)
+        out *= zr[:n]
+        out += h
+
+    def turned(self, words: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs of the words and weights of the state, turned; those of the gates are halved."""
+        inputs, gates = np.ascontiguousarray((self.p["x"][words] + self.p["b"]).T), np.ascontiguousarray(self.p["u"].T)
+        inputs[: 2 * HIDDEN] *= 0.5
+        gates[: 2 * HIDDEN] *= 0.5
+        return inputs, gates
 
     def by_class(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[slice, slice]]]:
         """Order of the targets by class, their classes and places in it, and (columns, words) of each class."""
@@ -187,24 +226,38 @@ class GruLm:
         blocks = [(slice(ends[k], ends[k + 1]), slice(self.first[k], self.first[k + 1])) for k in met]
         return order, kind.astype(np.int64), self.place[target[order]], blocks
 
+    def pieces(self, blocks: list[tuple[slice, slice]], n: int) -> Iterator[tuple[str, slice, slice]]:
+        """(weights, their rows, columns) of the outputs: all classes for all ``n`` states, then the words of each class, in
+        pieces of about CELLS logits."""
+        for k, at, rows in [("c", slice(0, n), slice(0, len(self.sizes))), *(("w", *b) for b in blocks)]:
+            wide = max(256, CELLS // (rows.stop - rows.start))
+            for first in range(at.start, at.stop, wide):
+                yield k, rows, slice(first, min(at.stop, first + wide))
+
+    def calm(self) -> bool:
+        """Whether no state, being within -1 and 1, leads to logits that must be lowered before they are raised to powers."""
+        found = True
+        for k, first in (("c", [0]), ("w", self.first[:-1])):
+            bias, reach = self.p[k][:, -1], np.abs(self.p[k][:, :-1]).sum(1)
+            found &= bool((bias + reach).max() < SAFE and np.maximum.reduceat(bias - reach, first).min() > -SAFE)
+        return found
+
     def log_probs(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target after each state (rows)."""
-        return self._log_probs(h.T, target)
+        return self._log_probs(np.vstack([h.T, np.ones(len(target), h.dtype)]), target, self.calm())
 
-    def _log_probs(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+    def _log_probs(self, h: np.ndarray, target: np.ndarray, calm: bool) -> np.ndarray:
+        """``h`` has a last row of ones."""
         order, kind, place, blocks = self.by_class(target)
-        h, every = h.take(order, 1), np.arange(len(target))
-
-        def logs(weights: np.ndarray, bias: np.ndarray, states: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-            logits = weights @ states
-            logits += bias[:, None]
-            logits -= logits.max(0)
-            met = logits[chosen, every[: len(chosen)]]
-            return met - np.log(np.exp(logits, out=logits).sum(0))
-
-        found = logs(np.ascontiguousarray(self.p["c"].T), self.p["cb"], h, kind).astype("f8")
-        for at, words in blocks:
-            found[at] += logs(self.p["w"][words], self.p["wb"][words], h[:, at], place[at])
+        h, every = h.take(order, 1, out=self.room("sorted", len(h), len(target)), mode="clip"), np.arange(len(target))
+        found = np.zeros(len(target))
+        for k, rows, at in self.pieces(blocks, len(target)):
+            logits = self.room("logits", rows.stop - rows.start, at.stop - at.start)
+            np.matmul(self.p[k][rows], h[:, at], out=logits)
+            if not calm:
+                logits -= logits.max(0)
+            found[at] += logits[(kind if k == "c" else place)[at], every[: at.stop - at.start]]
+            found[at] -= np.log(np.exp(logits, out=logits).sum(0))
         out = np.empty(len(target))
         out[order] = found
         return out
@@ -223,13 +276,16 @@ class GruLm:
         var = {k: np.zeros_like(a) for k, a in self.p.items()}
         h, last = np.zeros((len(lanes), HIDDEN), "f4"), np.full(len(lanes), END)
         for t, at in enumerate(range(0, size, STEPS), 1):
-            met = np.unique(np.append(last, grid[at : at + STEPS]))  # no other word's input has a gradient
             grads, h, last = self.window(grid[at : at + STEPS], live[at : at + STEPS], h, last)
             for k, g in grads.items():
-                of = met if k == "x" else slice(None)
-                g = np.clip(g[of], -1, 1)
-                m, v = mean[k][of], var[k][of]
-                m += 0.1 * (g - m)
+                m, v, p = mean[k], var[k], self.p[k]
+                if k == "x":  # no other word's input has a gradient
+                    g, m, v = (a.take(self.met, 0, out=self.room(name, len(self.met), a.shape[1]), mode="clip")
+                               for name, a in (("rows of g", g), ("rows of m", m), ("rows of v", v)))
+                np.clip(g, -1, 1, out=g)
+                move = np.subtract(g, m, out=self.room("move", *g.shape))
+                move *= 0.1
+                m += move
                 g *= g
                 g -= v
                 g *= 0.01
@@ -238,105 +294,144 @@ class GruLm:
                 np.sqrt(g, out=g)
                 g += 1e-6
                 np.divide(m, g, out=g)
-                g *= RATE / np.sqrt(t) ** 0.5 / (1 - 0.9**t)
-                self.p[k][of] -= g
+                g *= RATE / t**0.25 / (1 - 0.9**t)
                 if k == "x":
-                    mean[k][of], var[k][of] = m, v
+                    mean[k][self.met], var[k][self.met] = m, v
+                    p[self.met] -= g
+                else:
+                    p -= g
         return int(live.sum())
 
     def window(self, words: np.ndarray, live: np.ndarray, h: np.ndarray, last: np.ndarray):
-        """Gradients of one window's mean log loss, the state after it and the words read last."""
-        p, n, kept, states, turned, h = self.p, HIDDEN, [], [], self.turned(), h.T
-        for now in words:
-            h = h * (last != END)  # a document starts from nothing
-            h, cache = self._step(last, h, *turned)
-            kept.append(cache)
-            states.append(h)
-            last = now
+        """Gradients of one window's mean log loss, the state after it and the words read last; they hold until the next
+        call. ``self.met`` are the words read here and those of the last step."""
+        p, n, (steps, lanes), size = self.p, HIDDEN, words.shape, words.size
+        read = np.concatenate([last[None], words[:-1]])
+        passed = (read != END).astype(p["u"].dtype)  # a document starts from nothing
+        order_in = np.argsort(read.ravel().astype(np.uint16) if len(p["x"]) < 1 << 16 else read.ravel(), kind="stable")
+        new = np.diff(read.ravel()[order_in], prepend=-1) != 0
+        starts, nth = np.flatnonzero(new), np.empty(size, np.int64)
+        nth[order_in] = np.cumsum(new) - 1
+        old, met = self.met, read.ravel()[order_in[starts]]
+        inputs, gates = self.turned(met)
+        # What a step works on is one block of memory.
+        x, g = self.room("x", steps, 3 * n, lanes), self.room("g", steps, 3 * n, lanes)
+        before, states, h = self.room("before", steps, n, lanes), self.room("states", steps, n, lanes), h.T
+        for t, at in enumerate(nth.reshape(steps, lanes)):
+            inputs.take(at, 1, out=x[t], mode="clip")
+            h = np.multiply(h, passed[t], out=before[t])
+            np.matmul(gates, h, out=g[t])
+            self._next(x[t], g[t], h, states[t])
+            h = states[t]
+        z, r, c, gu = x[:, :n], x[:, n : 2 * n], x[:, 2 * n :], g[:, 2 * n :]
+
         order, kind, place, blocks = self.by_class(words.ravel())
-        hs, on, every = np.concatenate(states, 1).take(order, 1), live.ravel()[order], np.arange(len(order))
+        hs = self.room("sorted", n + 1, size)
+        self.by_row("turned states", states).take(order, 1, out=hs[:n], mode="clip")
+        hs[n], back_to = 1, np.empty((steps, lanes), np.int64)
+        back_to.ravel()[order] = np.arange(size)
+        on, every, calm = live.ravel()[order], np.arange(size), self.calm()
         weight = (on / max(1, int(on.sum()))).astype(hs.dtype)
-
-        def loss(weights: np.ndarray, bias: np.ndarray, at: slice, chosen: np.ndarray) -> np.ndarray:
-            e = weights @ hs[:, at]
-            e += bias[:, None]
-            e -= e.max(0)
+        grads = {"x": self.room("grad x", *p["x"].shape), "c": self.room("grad c", *p["c"].shape), "w": self.room("grad w", *p["w"].shape)}
+        grads["x"][old], grads["c"][:], grads["w"][:] = 0, 0, 0
+        back = self.room("back", n, size)
+        back[:] = 0
+        for k, rows, at in self.pieces(blocks, size):
+            e, scale, weights = self.room("logits", rows.stop - rows.start, at.stop - at.start), weight[at], p[k][rows]
+            np.matmul(weights, hs[:, at], out=e)
+            if not calm:
+                e -= e.max(0)
             np.exp(e, out=e)
-            scale = weight[at]
             e *= scale / e.sum(0)
-            e[chosen, every[: len(chosen)]] -= scale
-            return e
-
-        g = {k: np.zeros_like(a) for k, a in p.items()}
-        e = loss(np.ascontiguousarray(p["c"].T), p["cb"], slice(None), kind)
-        g["c"], g["cb"], back = hs @ e.T, e.sum(1), p["c"] @ e
-        for at, block in blocks:
-            e = loss(p["w"][block], p["wb"][block], at, place[at])
-            g["w"][block], g["wb"][block] = e @ hs[:, at].T, e.sum(1)
-            back[:, at] += p["w"][block].T @ e
-        dh = np.empty_like(back)
-        dh[:, order] = back
-        dh, carry = dh.reshape(n, len(words), -1), 0
-        da, du = (np.empty((3 * n, *words.shape), hs.dtype) for _ in range(2))
+            e[(kind if k == "c" else place)[at], every[: at.stop - at.start]] -= scale
+            grads[k][rows] += e @ hs[:, at].T
+            back[:, at] += weights[:, :n].T @ e
+
         # What does not hang on the steps after is done for all steps at once.
-        before, z, r, c, gu = (np.stack([k[i] for k in kept], 1) for i in range(1, 6))
-        rest = 1 - z
-        of_n, of_z, of_r = z * (1 - c * c), (c - before) * z * rest, gu * r * (1 - r)
-        rest *= np.stack([k[0] for k in kept]) != END
-        passed = (np.stack([k[0] for k in kept]) != END).astype(hs.dtype)
-        for t in range(len(words) - 1, -1, -1):
-            d = dh[:, t] + carry
-            dn = np.multiply(d, of_n[:, t], out=da[2 * n :, t])
-            np.multiply(d, of_z[:, t], out=da[:n, t])
-            np.multiply(dn, of_r[:, t], out=da[n : 2 * n, t])
-            du[: 2 * n, t] = da[: 2 * n, t]
-            np.multiply(dn, r[:, t], out=du[2 * n :, t])
-            carry = d * rest[:, t] + (p["u"] @ du[:, t]) * passed[t]
-        da, du = da.reshape(3 * n, -1), du.reshape(3 * n, -1)
-        g["b"], g["u"] = da.sum(1), before.reshape(n, -1) @ du.T
-        word = np.concatenate([k[0] for k in kept])
-        order = np.argsort(word, kind="stable")
-        met, first = np.unique(word[order], return_index=True)
-        g["x"][met] = np.add.reduceat(np.ascontiguousarray(da.T)[order], first)
-        return g, h.T, last
+        of_n, of_z, of_r, rest = (self.room(name, steps, n, lanes) for name in ("of n", "of z", "of r", "rest"))
+        np.subtract(1, z, out=rest)
+        np.multiply(c, c, out=of_n)
+        np.subtract(1, of_n, out=of_n)
+        of_n *= z
+        np.subtract(c, before, out=of_z)
+        of_z *= z
+        of_z *= rest
+        np.subtract(1, r, out=of_r)
+        of_r *= r
+        of_r *= gu
+        d = self.room("d", steps, 4 * n, lanes)  # of the candidate, the two gates, the candidate's part of the state
+        carry, dh, through = (self.room(name, n, lanes) for name in ("carry", "dh", "through"))
+        carry[:] = 0
+        for t in range(steps - 1, -1, -1):
+            carry += back.take(back_to[t], 1, out=dh, mode="clip")
+            dn = np.multiply(carry, of_n[t], out=d[t, :n])
+            np.multiply(carry, of_z[t], out=d[t, n : 2 * n])
+            np.multiply(dn, of_r[t], out=d[t, 2 * n : 3 * n])
+            np.multiply(dn, r[t], out=d[t, 3 * n :])
+            carry *= rest[t]
+            carry += np.matmul(p["u"], d[t, n:], out=through)
+            carry *= passed[t]
+        grads["u"] = np.matmul(before, d[:, n:].transpose(0, 2, 1)).sum(0)
+        turned = self.by_row("turned d", d[:, : 3 * n]).take(order_in, 1, out=self.room("sorted d", 3 * n, size), mode="clip")
+        grads["x"][met] = np.roll(np.add.reduceat(turned, starts, 1).T, 2 * n, 1)
+        grads["b"] = grads["x"][met].sum(0)
+        self.met = np.union1d(met, words[-1])
+        return grads, states[-1].T.copy(), words[-1]
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Natural log probability of each document; each ends with the end mark."""
-        order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-        sizes = np.array([len(docs[i]) for i in order])
-        out = np.zeros(len(docs))
-        h, last, turned = np.zeros((HIDDEN, len(docs)), "f4"), np.full(len(docs), END), self.turned()
-        for at in range(0, int(sizes[0]) if len(sizes) else 0, WINDOW):
-            lanes = int((sizes > at).sum())
-            span = min(WINDOW, int(sizes[0]) - at)
-            grid = np.zeros((span, lanes), np.int64)
-            for i in range(lanes):
-                part = docs[order[i]][at : at + span]
-                grid[: len(part), i] = part
-            h, last, states, targets, owners = h[:, :lanes], last[:lanes], [], [], []
-            for t in range(span):
-                on = int((sizes[:lanes] > at + t).sum())
-                h, _ = self._step(last[:on], np.ascontiguousarray(h[:, :on]), *turned)
-                last = grid[t, :on]
-                states.append(h)
-                targets.append(last)
-                owners.append(np.arange(on))
-            hs, target, owner = np.concatenate(states, 1), np.concatenate(targets), np.concatenate(owners)
-            out += np.bincount(owner, self._log_probs(hs, target), len(docs))
+        sizes = np.array([len(d) for d in docs], np.int64)
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        words, starts, out = np.concatenate([docs[i] for i in order]) if docs else np.zeros(0, np.int64), np.cumsum(sizes) - sizes, np.zeros(len(docs))
+        (inputs, gates), n, calm, at = self.turned(), HIDDEN, self.calm(), 0
+        h, last = np.zeros((n, len(docs)), self.p["u"].dtype), np.full(len(docs), END)
+        while at < (int(sizes[0]) if len(sizes) else 0):
+            lanes = int(np.searchsorted(-sizes, -at))  # documents that go on
+            span = min(max(1, WINDOW // lanes), int(sizes[0]) - at)
+            on = np.searchsorted(-sizes, -np.arange(at, at + span))
+            ends = np.cumsum(on)
+            owner = np.arange(ends[-1]) - np.repeat(ends - on, on)
+            target = words[starts[owner] + np.repeat(np.arange(at, at + span), on)]
+            states = self.room("states", n + 1, int(ends[-1]))
+            states[n] = 1
+            for t, (end, wide) in enumerate(zip(ends.tolist(), on.tolist(), strict=True), at):
+                x, g, to = self.room("x", 3 * n, wide), self.room("g", 3 * n, wide), self.room(f"to {t % 2}", n, wide)
+                inputs.take(last[:wide], 1, out=x, mode="clip")
+                np.matmul(gates, h[:, :wide], out=g)
+                self._next(x, g, h[:, :wide], to)
+                h, last = to, target[end - wide : end]
+                states[:n, end - wide : end] = h
+            out += np.bincount(owner, self._log_probs(states, target, calm), len(docs))
+            at += span
         back = np.zeros(len(docs))
         back[order] = out
         return back
 
 
-def _ids(lex: Lexicon, words: list[str]) -> np.ndarray:
-    return np.fromiter(map(lex.index.get, [*words, ""], repeat(OTHER)), np.int64, len(words) + 1)
+def _ended(of: np.ndarray, words: np.ndarray, texts: int) -> list[np.ndarray]:
+    """Words of each text, closed by the end mark; ``of`` is the text of each word."""
+    ends = np.cumsum(np.bincount(of, minlength=texts) + 1)
+    flat = np.full(len(words) + texts, END, np.int64)
+    flat[np.arange(len(words)) + of] = words
+    return np.split(flat, ends[:-1])
+
+
+def _places(words: pa.Array, known: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Place of each word among the known ones, their number if it is none; its number among the distinct words, and these."""
+    coded = words.dictionary_encode()
+    distinct, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    place = pc.fill_null(pc.index_in(distinct, value_set=known.cast(distinct.type)), len(known)).to_numpy(zero_copy_only=False)
+    return place[code], code, distinct
 
 
 def _train_copy(lex: Lexicon, values: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model, seen = GruLm(lex).load(values), 0
+    known, word = pa.array([*lex.index], pa.string()), np.array([*lex.index.values(), OTHER])
     for batch in batches:
-        for _, texts in by_bytes(batch.column("text").to_pylist(), BATCH_CHARS):
-            seen += model.train([_ids(lex, tokens(t)) for t in texts])
+        for _, texts in _slices(batch.column("text"), BATCH_CHARS):
+            of, words = _split(texts)
+            seen += model.train(_ended(of, word[_places(words, known)[0]], len(texts)))
     if seen:
         yield _blocks(model.flat(), seen)
 
@@ -380,38 +475,29 @@ def _scored(lex: Lexicon, values: np.ndarray, batches: Iterator[pa.RecordBatch])
     """A row per document, and one per word of it that is not among the frequent ones, whose count is still to come."""
     model, log10e = GruLm(lex).load(values), float(np.log10(np.e))
     # One look-up per word: its place among the frequent words leads to its probabilities and its model word.
-    place = {w: i for i, w in enumerate(lex.head)}
-    base = np.array([*[lex.log_base(c) for c in lex.head.values()], 0.0])
-    other = np.array([*[0.0 if w in lex.index else lex.log_other(c) for w, c in lex.head.items()], 0.0])
+    known, counts = pa.array([*lex.head], pa.string()), np.array([*lex.head.values()], np.float64)
     word = np.array([*[lex.index.get(w, OTHER) for w in lex.head], OTHER])
+    base = np.append(np.log10((counts + 0.5) / lex.base_mass), 0.0)
+    other = np.append(np.where(word[:-1] == OTHER, np.log10((counts + 0.5) / lex.other_mass), 0.0), 0.0)
     ends = lex.log_base(lex.head.get("", 0))
     for batch in batches:
-        keys, ids = batch.column("row").to_pylist(), batch.column("doc_id").to_pylist()
-        for first, texts in by_bytes(batch.column("text").to_pylist(), BATCH_CHARS):
-            rare_words, rare_counts, distinct, coded, extra = [], [], [], [], []
-            for k, text in enumerate(texts, first):
-                words = tokens(text)
-                at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
-                missing = np.flatnonzero(at < 0)
-                rare = Counter([words[i] for i in missing.tolist()])
-                rare_words += rare.keys()
-                rare_counts += rare.values()
-                distinct.append(len(rare))
-                extra.append((keys[k], ids[k], len(words) + 1, len(words) - len(missing) + ("" in place),
-                              float(base[at].sum()) + ends, float(other[at].sum())))
-                coded.append(np.append(word[at], END))
-            scores = model.score(coded) * log10e
-            of = slice(first, first + len(texts))
-            at, size = pa.array(np.repeat(np.arange(first, first + len(texts)), distinct)), len(rare_words)
-            whole, real = pa.nulls(size, pa.int64()), pa.nulls(size, pa.float64())
+        for first, texts in _slices(batch.column("text"), BATCH_CHARS):
+            size, (of, words) = len(texts), _split(texts)
+            at, code, distinct = _places(words, known)
+            rare = at == len(known)
+            pair, times = np.unique(of[rare] * len(distinct) + code[rare], return_counts=True)
+            row, rare_words = pa.array(first + pair // max(1, len(distinct))), distinct.take(pa.array(pair % max(1, len(distinct))))
+            whole, real = pa.nulls(len(pair), pa.int64()), pa.nulls(len(pair), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(at), batch.column("doc_id").take(at), pa.array(rare_words, pa.string()),
-                 pa.array(rare_counts, pa.int64()), whole, whole, real, real], names=SCORED_NAMES)
-            length, known, base_sum, inside = zip(*[e[2:] for e in extra], strict=True)
+                [batch.column("row").take(row), batch.column("doc_id").take(row), rare_words.cast(pa.string()), pa.array(times, pa.int64()),
+                 whole, whole, real, real], names=SCORED_NAMES)
+            length = np.bincount(of, minlength=size) + 1
+            met = length - np.bincount(of[rare], minlength=size) - ("" not in lex.head)
+            scores = model.score(_ended(of, word[at], size)) * log10e + np.bincount(of, other[at], size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[of], pa.int64()), pa.array(ids[of], pa.int64()), pa.nulls(len(texts), pa.string()), pa.nulls(len(texts), pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(known, pa.int64()), pa.array(base_sum, pa.float64()),
-                 pa.array(scores + np.array(inside), pa.float64())], names=SCORED_NAMES)
+                [batch.column("row").slice(first, size), batch.column("doc_id").slice(first, size), pa.nulls(size, pa.string()), pa.nulls(size, pa.int64()),
+                 pa.array(length, pa.int64()), pa.array(met, pa.int64()), pa.array(np.bincount(of, base[at], size) + ends, pa.float64()),
+                 pa.array(scores, pa.float64())], names=SCORED_NAMES)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
