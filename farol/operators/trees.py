@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from farol.functions import rules
 from farol.operators.boosting import BoostedTreesModel
+from farol.operators.forest import RandomForestModel
 from farol.session import new_path
 from farol.sources import sinks
 
@@ -31,6 +32,10 @@ def node_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
         return spark.createDataFrame(
             classifier.node_rows(), "tree int, node int, feature int, threshold double, left int, right int, cover double, gain double, value double"
         ).withColumn("weight", F.lit(1.0))
+    if isinstance(classifier, RandomForestModel):
+        return spark.createDataFrame(
+            classifier.node_rows(), "tree int, node int, feature int, threshold double, left int, right int, cover double, gain double, value double, weight double"
+        )
     if not hasattr(classifier, "treeWeights"):
         raise ValueError("the model has no trees")
     boosted = isinstance(classifier, GBTClassificationModel)
